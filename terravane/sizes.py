@@ -1,0 +1,17 @@
+"""Size checks that decide between a plain plan and one that spreads the work."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Below this estimate one task handles the whole input with ease.
+SMALL_BYTES = 8 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate (what EXPLAIN COST prints); no job is run."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def is_small(df: DataFrame, limit: int = SMALL_BYTES) -> bool:
+    return not df.isStreaming and estimated_bytes(df) <= limit
