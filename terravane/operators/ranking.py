@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terravane.operators.dedup import with_row_order
+from terravane.operators.dedup import ORDINAL, with_row_order
 from terravane.sizes import is_small
 from terravane.staging import enable_checkpoints
 
@@ -73,14 +73,14 @@ def latest(df: DataFrame, time: str, n: int = 10, *tie_break: Column) -> DataFra
 
 def head(df: DataFrame, n: int = 5, order_by: Sequence | None = None) -> DataFrame:
     """First rows in row order. Each task keeps n rows; nothing is sorted globally."""
-    columns = df.columns
+    columns = [c for c in df.columns if c != ORDINAL]
     df, order = with_row_order(df, order_by)
     return df.orderBy(*order).limit(n).select(*columns)
 
 
 def tail(df: DataFrame, n: int = 5, order_by: Sequence | None = None) -> DataFrame:
     """Last rows in row order."""
-    columns = df.columns
+    columns = [c for c in df.columns if c != ORDINAL]
     df, order = with_row_order(df, order_by)
     last = [c.desc() if isinstance(c, Column) else F.desc(c) for c in order]
     return df.orderBy(*last).limit(n).select(*columns)

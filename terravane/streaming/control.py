@@ -32,5 +32,7 @@ def stop_all(queries: Iterable[StreamingQuery]) -> None:
 def drain(queries: Iterable[StreamingQuery], seconds: int | None = None) -> None:
     """Wait until queries started with ``availableNow`` have read everything."""
     for query in queries:
-        if not query.awaitTermination(seconds):
+        if seconds is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(seconds):
             raise TimeoutError(f"stream {query.name} did not finish in {seconds} s")
