@@ -32,8 +32,7 @@ WHERE w IN ('the', 'und', 'les', 'que', 'der')
 
 @registry.query(f"SELECT city, count(*) AS posts FROM ({_MENTIONS}) GROUP BY city")
 def listed_place_counts(spark, sf_dir):
-    df = table(spark, sf_dir, "documents").select(
-        "doc_id", F.explode(text.listed_places("text", PLACES)).alias("city"))
+    df = text.detect_places(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", PLACES)
     return df.groupBy("city").agg(F.count(F.lit(1)).alias("posts"))
 
 
@@ -55,7 +54,7 @@ def gazetteer_mentions(spark, sf_dir):
                        lambda i: F.array_join(F.slice(F.col("w"), i, 2), " "))
     gazetteer = words.select(F.explode(runs).alias("place")).distinct()
     df = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return text.place_mentions(df, "text", gazetteer, longest=2).select("doc_id", "city")
+    return text.place_mentions(df, "text", gazetteer, ["doc_id"], longest=2)
 
 
 _LABELS = r"""

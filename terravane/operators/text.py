@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terravane.fixed_values import BAD_WORDS, CITIES, GOOD_WORDS
-from terravane.functions.strings import word_text
+from terravane.functions.strings import _col, word_text
 
 MAX_LISTED_PLACES = 1000
 
@@ -25,38 +25,83 @@ def _as_words(name: str) -> str:
 
 
 def listed_places(text: Column | str, places: Sequence[str] | None = None) -> Column:
-    """Places of a short list that the text names as whole words, each once, in list order."""
+    """Places of a short list that the text names as whole words, each once."""
     places = [c[0] for c in CITIES] if places is None else list(places)
     if len(places) > MAX_LISTED_PLACES:
         raise ValueError("long gazetteers are joined: use place_mentions")
+    by_words = {_as_words(p): p for p in places}
+    every_word = [w for words in by_words for w in words.split()]
+    if len(every_word) == len(set(every_word)):
+        return _places_in_one_pass(text, by_words)
+    return _places_one_by_one(text, by_words)
+
+
+def _places_in_one_pass(text: Column | str, by_words: dict[str, str]) -> Column:
+    """One regular expression for all names. Names that share no word cannot overlap,
+    so each mention is found although matches do not overlap either."""
+    by_letter: dict[str, list[str]] = {}
+    for words in by_words:
+        by_letter.setdefault(words[0], []).append(words[1:].replace(" ", r"[^\p{L}]+"))
+    names = "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in by_letter.items())
+    hits = F.regexp_extract_all(
+        F.lower(_col(text)), F.lit(rf"(?<!\p{{L}})({names})(?!\p{{L}})"), F.lit(1))
+    canonical = F.create_map(*[F.lit(x) for pair in by_words.items() for x in pair])
+    return F.array_distinct(F.transform(
+        hits, lambda h: canonical[F.regexp_replace(h, r"[^\p{L}]+", " ")]))
+
+
+def _places_one_by_one(text: Column | str, by_words: dict[str, str]) -> Column:
+    """One search per name. Without a lambda, generated code normalises the text once."""
     words = word_text(text)
-    # No lambda here: generated code computes ``words`` once for all names.
     named = F.array(*[
-        F.when(F.contains(words, F.lit(f" {_as_words(p)} ")), F.lit(p)) for p in places
+        F.when(F.contains(words, F.lit(f" {w} ")), F.lit(p)) for w, p in by_words.items()
     ])
     return F.array_except(named, F.array(F.lit(None).cast("string")))
 
 
-def place_mentions(df: DataFrame, text: str, gazetteer: DataFrame, name: str = "place",
-                   longest: int = 3, alias: str = "city") -> DataFrame:
-    """One row per (post, place) against a gazetteer table of any size.
+def detect_places(df: DataFrame, text: str = "text", places: Sequence[str] | None = None,
+                  tagger: Callable[[Column], Column] | None = None,
+                  alias: str = "city") -> DataFrame:
+    """One row per row of ``df`` and distinct place its text names; other rows are dropped."""
+    tagger = tagger or (lambda c: listed_places(c, places))
+    return _per_place(df.withColumn("_places", F.array_distinct(tagger(F.col(text)))), alias)
+
+
+def _per_place(df: DataFrame, alias: str) -> DataFrame:
+    """Explode ``_places``.
+
+    A plain ``explode`` makes the optimizer add a filter on the array, which it pushes
+    below the projection that detects the places, so the texts would be scanned twice.
+    The outer form has no such filter.
+    """
+    rest = [c for c in df.columns if c != "_places"]
+    return (df.select(*rest, F.explode_outer("_places").alias(alias))
+            .filter(F.col(alias).isNotNull()))
+
+
+def place_mentions(df: DataFrame, text: str, gazetteer: DataFrame, keep: Sequence[str],
+                   name: str = "place", longest: int = 3, alias: str = "city") -> DataFrame:
+    """The ``keep`` columns and the place, per (post, place), for a gazetteer of any size.
 
     Each text yields its distinct runs of up to ``longest`` words, which are joined to
     the gazetteer. The runs are made distinct inside the row, so no shuffle is needed
-    to make the result distinct.
+    to make the result distinct. Keep an identifier rather than the text: the kept
+    columns travel with every run when the gazetteer is too large to broadcast.
     """
-    words = F.split(F.trim(word_text(text)), " ")
+    words = F.col("_words")
 
     def runs_of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size("_words") - (n - 1))
-        run = F.transform(starts, lambda i: F.array_join(F.slice(F.col("_words"), i, n), " "))
-        return F.when(F.size("_words") >= n, run).otherwise(F.array().cast("array<string>"))
+        # Near the end of the text concat_ws skips the absent words and so yields a
+        # shorter run, which is a run of its own.
+        return F.transform(words, lambda w, i: F.concat_ws(
+            " ", w, *[F.get(words, i + k) for k in range(1, n)]))
 
     runs = F.array_distinct(F.flatten(F.array(*[runs_of(n) for n in range(1, longest + 1)])))
     dim = gazetteer.select(
         F.btrim(word_text(name)).alias("_run"), F.col(name).alias(alias)).dropDuplicates(["_run"])
-    return (df.withColumn("_words", words).withColumn("_run", F.explode(runs)).drop("_words")
-            .join(dim, "_run").drop("_run"))
+    split = df.select(*keep, F.split(F.trim(word_text(text)), " ").alias("_words"))
+    return (split.select(*keep, F.explode(runs).alias("_run"))
+            .join(dim, "_run").select(*keep, alias))
 
 
 def word_label(text: Column | str, good: Sequence[str] | None = None,
@@ -84,14 +129,19 @@ def enrich_posts(df: DataFrame, tagger: Callable[[Column], Column] | None = None
                  text: str = "text", created_at: str = "created_at") -> DataFrame:
     """created_at, city, assessment, score, text -- one row per post and city.
 
-    Posts without a city are dropped before they are classified.
+    Posts without a city are dropped and not classified.
     """
-    tagger = tagger or listed_places
-    classifier = classifier or word_label
-    tagged = df.withColumn("_cities", F.array_distinct(tagger(F.col(text))))
-    labelled = tagged.filter(F.size("_cities") > 0).withColumn("_label", classifier(F.col(text)))
-    return labelled.select(
-        F.col(created_at).alias("created_at"), F.explode("_cities").alias("city"),
+    tagged = df.withColumn("_places", F.array_distinct((tagger or listed_places)(F.col(text))))
+    if classifier is not None:
+        # The classifier may be a model: keep it away from posts without a place.
+        labelled = tagged.filter(F.size("_places") > 0).withColumn(
+            "_label", classifier(F.col(text)))
+    else:
+        labelled = tagged.withColumn(
+            "_label", F.when(F.size("_places") > 0, word_label(F.col(text))))
+    kept = labelled.select("_places", "_label", created_at, text)
+    return _per_place(kept, "city").select(
+        F.col(created_at).alias("created_at"), "city",
         F.col("_label.label").alias("assessment"), F.col("_label.score").alias("score"),
         F.col(text).alias("text"),
     )

@@ -1,6 +1,7 @@
 """One cleaning plan per dataset: raw landed frame in, trusted frame out.
 
-All plans are lazy and keep NULL for missing values. ``order_by`` gives the row order
+All plans are lazy and keep NULL for missing values. Only the columns of a
+de-duplication key are parsed before it, the others afterwards on the rows that are left. ``order_by`` gives the row order
 that "keep the first row" refers to; by default it is the landed ordinal.
 De-duplication comes before the validity filters on purpose: an invalid first row
 removes its whole key.
@@ -45,9 +46,9 @@ def clean_current_air_quality(df: DataFrame, order_by: Sequence | None = None,
     df, order = dedup.with_row_order(df, order_by)
     df = df.withColumn("city", strings.strip("city"))
     df = _stamp(df, "date", "DateTime", date_format)
+    df = dedup.keep_first(df, ["city", "DateTime"], order)
     # "-" is no number, so the lenient cast covers the sentinel as well.
     df = columns.to_numbers(df, *measures)
-    df = dedup.keep_first(df, ["city", "DateTime"], order)
     df = filters.keep_non_negative(df, *measures)
     df = joins.add_city_code(df.drop("date").withColumnRenamed("city", "City"), "City")
     return _without_order(df, had_ordinal)
@@ -64,6 +65,8 @@ def clean_historical_weather(df: DataFrame, order_by: Sequence | None = None,
         df = _stamp(df, "date", "DateTime", date_format)
     else:
         df = columns.add_missing(df, DateTime="timestamp", Year="int")
+    # The country code follows from the city, so it adds nothing to the key.
+    df = dedup.keep_first(df, ["DateTime", "city"], order)
     df = columns.rename_present(df, {"latitude": "Latitude", "longitude": "Longitude"})
     df = columns.to_numbers(
         df, "AverageTemperature", "AverageTemperatureUncertainty", "Latitude", "Longitude")
@@ -75,8 +78,6 @@ def clean_historical_weather(df: DataFrame, order_by: Sequence | None = None,
         df, lambda c: numbers.null_outside(c, fixed.LATITUDE_RANGE), "Latitude")
     df = columns.transform_present(
         df, lambda c: numbers.null_outside(c, fixed.LONGITUDE_RANGE), "Longitude")
-    # The country code follows from the city, so it adds nothing to the key.
-    df = dedup.keep_first(df, ["DateTime", "city"], order)
     df = joins.add_city_code(df.drop("date").withColumnRenamed("city", "City"), "City")
     return _without_order(df, had_ordinal)
 
@@ -107,7 +108,12 @@ def clean_environment_trends(df: DataFrame, order_by: Sequence | None = None,
     df, order = dedup.with_row_order(df, order_by)
     df = df.withColumn("Country", strings.strip_quotes(strings.strip("Country")))
     df = joins.add_listed_country_code(df, "Country")
-    df = columns.to_whole_numbers(df, "Year", col["population"], col["events"])
+    df = columns.to_whole_numbers(df, "Year")
+    key = F.col("CountryISO")
+    if dedup_fallback_key:
+        key = F.coalesce(key, F.concat(F.lit("name:"), F.col(dedup_fallback_key)))
+    df = dedup.keep_first(df, ["Year", key], order)
+    df = columns.to_whole_numbers(df, col["population"], col["events"])
     df = columns.to_numbers(df, col["temperature"], col["co2"], col["sea_level"],
                             col["rainfall"], col["renewable"], col["forest"])
     df = columns.transform_present(
@@ -118,10 +124,6 @@ def clean_environment_trends(df: DataFrame, order_by: Sequence | None = None,
     df = columns.transform_present(
         df, lambda c: numbers.null_outside(c, fixed.PERCENT_RANGE),
         col["renewable"], col["forest"])
-    key = F.col("CountryISO")
-    if dedup_fallback_key:
-        key = F.coalesce(key, F.concat(F.lit("name:"), F.col(dedup_fallback_key)))
-    df = dedup.keep_first(df, ["Year", key], order)
     bounds = {
         col["temperature"]: fixed.SURFACE_TEMPERATURE_RANGE,
         col["forest"]: fixed.PERCENT_RANGE,
@@ -272,6 +274,9 @@ def clean_country_indicators(df: DataFrame, order_by: Sequence | None = None,
         raise ValueError("missing columns: need a country code and Time")
     had_ordinal = dedup.ORDINAL in df.columns
     df, order = dedup.with_row_order(df, order_by)
+    # Checked on the raw scan, where it reads one column and stops at the first hit.
+    year = numbers.as_number("Time", df.schema["Time"].dataType)
+    has_year = df.select(year.alias("y")).filter(F.col("y").isNotNull()).limit(1).exists()
     df = dedup.keep_first(df, [F.col(f"`{code}`"), F.col("Time")], order)
     indicators = [n for n in map(lambda i: names.find_column(df, i), fixed.COUNTRY_INDICATORS) if n]
     renames = {code: "CountryISO", "Time": "Year"} | ({name: "CountryName"} if name else {})
@@ -284,7 +289,6 @@ def clean_country_indicators(df: DataFrame, order_by: Sequence | None = None,
     if name:
         df = filters.exclude_entity(df, "CountryName", "kosovo", strings.strip_lower)
     df = df.withColumn("CountryISO", F.upper("CountryISO"))
-    has_year = df.filter(F.col("Year").isNotNull()).limit(1).exists()
     df = df.filter(
         F.col("Year").between(1900, this_year or date.today().year)
         | (F.col("Year").isNull() & ~has_year))

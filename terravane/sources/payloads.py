@@ -13,7 +13,7 @@ WEATHER_TYPE = (
     "temperature_2m_mean: array<double>>"
 )
 STATION_TYPE = (
-    "aqi string, iaqi struct<pm25: struct<v: double>, pm10: struct<v: double>, "
+    "aqi: string, iaqi: struct<pm25: struct<v: double>, pm10: struct<v: double>, "
     "no2: struct<v: double>>"
 )
 
@@ -52,9 +52,9 @@ def station_readings(payloads: DataFrame, value: str = "value", city: str = "cit
     payload carries a text there. ``day`` is the reading date, today by default.
     """
     status = F.get_json_object(F.col(value), "$.status")
-    data = F.from_json(F.get_json_object(F.col(value), "$.data"), STATION_TYPE)
+    parsed = F.from_json(F.col(value), f"data struct<{STATION_TYPE}>")
     return (
-        payloads.filter(status == "ok").withColumn("_d", data)
+        payloads.filter(status == "ok").withColumn("_d", parsed["data"])
         .select(
             F.col(city).alias("city"), (F.current_date() if day is None else day).alias("date"),
             F.col("_d.aqi").alias("aqi"), F.col("_d.iaqi.pm25.v").alias("pm25"),
