@@ -6,7 +6,7 @@ later comparisons never meet NaN (which Spark orders above every number).
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,10 +41,18 @@ def nan_to_null(c: Column | str) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it.
+
+    Otherwise a rule that names its input twice doubles the parsing below it each time
+    the optimizer merges projections or pushes a filter down.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def integral(c: Column | str) -> Column:
     """Double -> bigint where it holds a whole number in range, else NULL."""
-    c = _col(c)
-    return F.when(c == F.floor(c), c.try_cast("bigint"))
+    return let(_col(c), lambda x: F.when(x == F.floor(x), x.try_cast("bigint")))
 
 
 def missing_if(c: Column | str, sentinels: Iterable[str]) -> Column:

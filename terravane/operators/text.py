@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terravane.fixed_values import BAD_WORDS, CITIES, GOOD_WORDS
+from terravane.functions.numbers import let
 from terravane.functions.strings import _col, word_text
 
 MAX_LISTED_PLACES = 1000
@@ -111,17 +112,21 @@ def word_label(text: Column | str, good: Sequence[str] | None = None,
     The score is the share of the winning side among all hits; a text without hits, or
     with a tie, is neutral with score 1 or 0.5.
     """
-    words = word_text(text)
-
-    def count(listed: Sequence[str]) -> Column:
+    def count(words: Column, listed: Sequence[str]) -> Column:
         return F.regexp_count(words, F.lit(f" ({'|'.join(listed)})(?= )"))
 
-    hits, misses = count(good or GOOD_WORDS), count(bad or BAD_WORDS)
-    label = (F.when(hits > misses, F.lit("good")).when(hits < misses, F.lit("bad"))
-             .otherwise(F.lit("neutral")))
-    total = hits + misses
-    score = F.when(total > 0, F.greatest(hits, misses) / total).otherwise(F.lit(1.0))
-    return F.struct(label.alias("label"), score.alias("score"))
+    def judge(c: Column) -> Column:
+        hits, misses = c["hits"], c["misses"]
+        label = (F.when(hits > misses, F.lit("good")).when(hits < misses, F.lit("bad"))
+                 .otherwise(F.lit("neutral")))
+        total = hits + misses
+        score = F.when(total > 0, F.greatest(hits, misses) / total).otherwise(F.lit(1.0))
+        return F.struct(label.alias("label"), score.alias("score"))
+
+    counts = let(word_text(text), lambda words: F.struct(
+        count(words, good or GOOD_WORDS).alias("hits"),
+        count(words, bad or BAD_WORDS).alias("misses")))
+    return let(counts, judge)
 
 
 def enrich_posts(df: DataFrame, tagger: Callable[[Column], Column] | None = None,

@@ -289,7 +289,7 @@ def clean_country_indicators(df: DataFrame, order_by: Sequence | None = None,
     if name:
         df = filters.exclude_entity(df, "CountryName", "kosovo", strings.strip_lower)
     df = df.withColumn("CountryISO", F.upper("CountryISO"))
-    df = df.filter(
-        F.col("Year").between(1900, this_year or date.today().year)
-        | (F.col("Year").isNull() & ~has_year))
+    last = this_year or date.today().year
+    in_range = numbers.let(F.col("Year"), lambda y: y.between(1900, last))
+    df = df.filter(F.coalesce(in_range, ~has_year))
     return _without_order(df, had_ordinal)
