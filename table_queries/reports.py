@@ -59,8 +59,7 @@ def _scores(spark, sf_dir):
 
 @registry.query(f"SELECT user_id, score, CAST(position AS BIGINT) AS position FROM ({_RANKED})")
 def sentiment_ranking(spark, sf_dir):
-    ranked = ranking.number_rows(_scores(spark, sf_dir), [F.desc("score"), F.col("user_id")])
-    return ranked.withColumn("position", F.col("position").cast("bigint"))
+    return ranking.number_rows(_scores(spark, sf_dir), [F.desc("score"), F.col("user_id")])
 
 
 @registry.query("""
@@ -75,7 +74,7 @@ def number_all_orders(spark, sf_dir):
 
 
 @registry.query("""
-SELECT CAST(position AS INTEGER) AS position,
+SELECT CAST(position AS BIGINT) AS position,
        CASE position WHEN 1 THEN '🥇' WHEN 2 THEN '🥈' WHEN 3 THEN '🥉' ELSE '' END AS medal,
        city, score
 FROM (SELECT n_name AS city, score, row_number() OVER (ORDER BY score DESC, n_name) AS position
@@ -85,7 +84,6 @@ FROM (SELECT n_name AS city, score, row_number() OVER (ORDER BY score DESC, n_na
             JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name))
 """)
 def city_ranking(spark, sf_dir):
-    """One row per nation, which is a fixed short list like the cities."""
     posts = (table(spark, sf_dir, "orders")
              .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
              .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")))

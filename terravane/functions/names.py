@@ -32,19 +32,16 @@ def sanitize_columns(df: DataFrame, on_clash: str = "fail") -> DataFrame:
     return df.toDF(*names)
 
 
-def snake_case_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def snake_case_columns(df: DataFrame) -> DataFrame:
     """Lower-case, turn white space into ``_``, drop every other odd character.
 
-    Names that become equal are all numbered from zero. Columns in ``keep`` are
-    left alone.
+    Names that become equal are all numbered from zero.
     """
-    free = [c for c in df.columns if c not in keep]
     cleaned = []
-    for name in free:
+    for name in df.columns:
         name = re.sub(r"\s+", "_", name.lower())
         cleaned.append(re.sub(r"[^a-zA-Z0-9_]", "", name) or "unnamed_col")
-    renamed = dict(zip(free, number_duplicates(cleaned)))
-    names = [renamed.get(c, c) for c in df.columns]
+    names = number_duplicates(cleaned)
     _reject_clashes(names)
     return df.toDF(*names)
 

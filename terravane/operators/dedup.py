@@ -41,13 +41,10 @@ def keep_first(df: DataFrame, keys: Sequence[Column | str], order_by: Sequence)
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Full-row distinct over the data columns.
 
-    A landed ordinal is not data: the smallest one of the equal rows is kept.
+    The landed ordinal is no data and is dropped: equal rows are interchangeable, and
+    without it the duplicates are hashed away before and after the shuffle.
     """
-    if ORDINAL not in df.columns:
-        return df.dropDuplicates()
-    data = [c for c in df.columns if c != ORDINAL]
-    return (df.groupBy(*data).agg(F.min(ORDINAL).alias(ORDINAL))
-            .select(*df.columns))
+    return df.drop(ORDINAL).dropDuplicates()
 
 
 def dedup_audit(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:

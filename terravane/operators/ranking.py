@@ -63,8 +63,8 @@ def spread_number_rows(df: DataFrame, order_by: Sequence, alias: str = "position
 
 
 def number_few_rows(df: DataFrame, order_by: Sequence, alias: str = "position") -> DataFrame:
-    """``number_rows`` for tables of a proven small size, such as one row per listed city."""
-    return df.withColumn(alias, F.row_number().over(Window.orderBy(*order_by)))
+    """``number_rows`` in one task."""
+    return df.withColumn(alias, F.row_number().over(Window.orderBy(*order_by)).cast("bigint"))
 
 
 def latest(df: DataFrame, time: str, n: int = 10, *tie_break: Column) -> DataFrame:

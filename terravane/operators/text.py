@@ -98,8 +98,7 @@ def place_mentions(df: DataFrame, text: str, gazetteer: DataFrame, keep: Sequenc
             " ", w, *[F.get(words, i + k) for k in range(1, n)]))
 
     runs = F.array_distinct(F.flatten(F.array(*[runs_of(n) for n in range(1, longest + 1)])))
-    dim = gazetteer.select(
-        F.btrim(word_text(name)).alias("_run"), F.col(name).alias(alias)).dropDuplicates(["_run"])
+    dim = gazetteer.groupBy(F.btrim(word_text(name)).alias("_run")).agg(F.min(name).alias(alias))
     split = df.select(*keep, F.split(F.trim(word_text(text)), " ").alias("_words"))
     return (split.select(*keep, F.explode(runs).alias("_run"))
             .join(dim, "_run").select(*keep, alias))

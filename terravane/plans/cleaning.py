@@ -137,9 +137,13 @@ def clean_environment_trends(df: DataFrame, order_by: Sequence | None = None,
 
 
 def clean_city_land_temperature(df: DataFrame, order_by: Sequence | None = None,
-                                date_format: str = dates.DATE_FORMAT) -> DataFrame:
+                                date_format: str = dates.DATE_FORMAT,
+                                listed_codes: bool = False) -> DataFrame:
     """Monthly land temperature per major city.
 
+    ``listed_codes`` takes the code from the short country list instead of the register,
+    by the lower-cased name; as the list has no lower-case names the code stays missing.
+
     Full-row duplicates need no pass of their own: rows that are equal share the key,
     so keeping the first row per key removes them too.
     """
@@ -160,7 +164,11 @@ def clean_city_land_temperature(df: DataFrame, order_by: Sequence | None = None,
     })
     df = filters.keep_between(
         df, Latitude=fixed.LATITUDE_RANGE, Longitude=fixed.LONGITUDE_RANGE)
-    df = joins.add_country_code(df, "Country")
+    if listed_codes:
+        df = df.withColumn("Country", strings.strip_lower("Country"))
+        df = joins.add_listed_country_code(df, "Country")
+    else:
+        df = joins.add_country_code(df, "Country")
     df = columns.to_float32(df)
     df = df.withColumns({c: strings.title_case(strings.strip(c)) for c in ("City", "Country")})
     return _without_order(df.drop("dt"), had_ordinal)
@@ -171,7 +179,7 @@ def clean_happiness(df: DataFrame, exact: bool = True) -> DataFrame:
 
     The medians are taken over all rows, before the exclusion.
     """
-    df = names.snake_case_columns(df, keep=(dedup.ORDINAL,))
+    df = names.snake_case_columns(df.drop(dedup.ORDINAL))
     df = columns.rename_present(df, {"country_name": "country"})
     df = dedup.distinct_rows(df)
     if "country" in df.columns:
@@ -215,7 +223,7 @@ def clean_natural_disasters(df: DataFrame, end_mode: str = "start",
     start of its period and then lifted to the start date; ``"end"`` completes it to
     the end of the period. Amounts stay double, as float would round them.
     """
-    df = names.snake_case_columns(df, keep=(dedup.ORDINAL,))
+    df = names.snake_case_columns(df.drop(dedup.ORDINAL))
     df = dedup.distinct_rows(df)
     df = columns.transform_present(df, strings.normalize_text, *DISASTER_TEXT)
     df = columns.add_missing(df, **{

@@ -11,17 +11,12 @@ from terravane.functions.dates import iso_instant
 from terravane.operators import aggregates, columns, ranking
 
 
-def city_ranking(counters: DataFrame, city: str = "city", few_rows: bool = True) -> DataFrame:
-    """position, medal, city, score by positive - negative, ties by name.
-
-    ``few_rows`` states that there is one row per city of a short list. Switch it off
-    for open-ended place names; the rows are then numbered by a distributed sort.
-    """
+def city_ranking(counters: DataFrame, city: str = "city") -> DataFrame:
+    """position, medal, city, score by positive - negative, ties by name."""
     scored = columns.add_missing(counters, positive="bigint", negative="bigint").select(
         F.col(city).alias("city"), ranking.net_score().alias("score"))
     order = [F.desc("score"), F.col("city")]
-    number = ranking.number_few_rows if few_rows else ranking.number_rows
-    ranked = number(scored, order)
+    ranked = ranking.number_rows(scored, order)
     return ranked.select("position", ranking.medal(F.col("position")).alias("medal"),
                          "city", "score")
 

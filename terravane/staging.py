@@ -9,9 +9,11 @@ from pyspark.sql import SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a scratch folder only where none is set."""
+    """The shared folder the cluster names; a scratch folder only in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="terravane-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
@@ -25,3 +27,12 @@ def enable_checkpoints(spark: SparkSession) -> None:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def finished_versions(spark: SparkSession, path: str, label: str) -> list[int]:
+    """Numbers N of the folders ``label=N`` below a path whose write was finished."""
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    pattern = new_path(f"{path}/{label}=*/_SUCCESS")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(pattern) or []
+    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)

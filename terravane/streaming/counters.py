@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from terravane.fixed_values import COUNTERS
 from terravane.operators.aggregates import counter_of
+from terravane.staging import finished_versions
 
 
 class CounterLog:
@@ -16,13 +17,17 @@ class CounterLog:
     The streaming aggregation keeps the totals in its state store. Each micro-batch
     writes only the totals that changed, into a folder named after the batch. A batch
     that is replayed overwrites its own folder, so nothing is counted twice, and the
-    current total of a key is its entry in the latest batch.
+    current total of a key is its entry in the latest batch. Every ``fold_every``
+    batches the latest totals are also written in one piece, so a reader never looks at
+    more changes than that.
     """
 
-    def __init__(self, path: str, key: str = "city", label: str = "assessment"):
+    def __init__(self, path: str, key: str = "city", label: str = "assessment",
+                 fold_every: int = 100):
         self.path = path.rstrip("/")
         self.key = key
         self.label = label
+        self.fold_every = fold_every
 
     def totals(self, df: DataFrame, counter: Column | None = None) -> DataFrame:
         """Long-form totals, batch or streaming."""
@@ -31,7 +36,12 @@ class CounterLog:
                 .agg(F.count(F.lit(1)).alias("n")))
 
     def write_batch(self, changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        spark = changed.sparkSession
+        changed.write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
+        folds = finished_versions(spark, f"{self.path}/totals", "upto")
+        if batch_id - (folds[-1] if folds else 0) >= self.fold_every:
+            self.current_long(spark).write.mode("overwrite").parquet(
+                f"{self.path}/totals/upto={batch_id}")
 
     def start(self, stream: DataFrame, checkpoint: str, trigger: dict | None = None,
               counter: Column | None = None, name: str | None = "count_labels") -> StreamingQuery:
@@ -42,9 +52,14 @@ class CounterLog:
         return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
     def current_long(self, spark: SparkSession) -> DataFrame:
-        log = spark.read.option("basePath", self.path).parquet(self.path)
-        return (log.groupBy(self.key, "counter")
-                .agg(F.max_by("n", F.col("batch_id").cast("bigint")).alias("n")))
+        changes = spark.read.parquet(f"{self.path}/changes").select(
+            self.key, "counter", "n", F.col("batch_id").cast("bigint").alias("_batch"))
+        folds = finished_versions(spark, f"{self.path}/totals", "upto")
+        if folds:
+            total = spark.read.parquet(f"{self.path}/totals/upto={folds[-1]}").select(
+                self.key, "counter", "n", F.lit(folds[-1]).cast("bigint").alias("_batch"))
+            changes = changes.filter(F.col("_batch") > folds[-1]).unionByName(total)
+        return (changes.groupBy(self.key, "counter").agg(F.max_by("n", "_batch").alias("n")))
 
     def current(self, spark: SparkSession) -> DataFrame:
         """One row per city with positive, negative and neutral, 0 where never counted."""

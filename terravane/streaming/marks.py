@@ -2,8 +2,8 @@
 
 A poll (micro-batch) is compared with the marks as they were before it. Afterwards an
 author's mark moves to the newest of that author's posts, whether or not it matched the
-topic words. The marks are a table with one row per author, written as one version
-per micro-batch. The comparison is a join and the new marks are a plain maximum, so a
+topic words. The marks are a table with one row per followed author, written as one
+version per micro-batch. The comparison is a join and the new marks are a plain maximum, so a
 busy author is never gathered in one task.
 """
 
@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from terravane.fixed_values import TOPIC_KEYWORDS
 from terravane.functions.dates import iso_instant
 from terravane.functions.strings import contains_any
+from terravane.staging import finished_versions
 
 MARKS_SCHEMA = "author string, mark timestamp"
 
@@ -53,11 +54,7 @@ class MarkedFeed:
 
     def marks_before(self, batch_id: int | None = None) -> DataFrame:
         """Marks of the latest version before a micro-batch (latest of all if None)."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/version=*")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        done = [s.getPath().getName() for s in fs.globStatus(path) or []
-                if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-        versions = [int(name.split("=")[1]) for name in done]
+        versions = finished_versions(self.spark, self.path, "version")
         earlier = [v for v in versions if batch_id is None or v < batch_id]
         if not earlier:
             return self.spark.createDataFrame([], MARKS_SCHEMA)
@@ -79,9 +76,11 @@ class MarkedFeed:
         the batch before it, so it sends the same posts again and never loses one.
         """
         def on_batch(batch: DataFrame, batch_id: int) -> None:
+            batch.persist()
             to_send, marks = self.poll(batch, self.marks_before(batch_id))
             send(to_send, batch_id)
             marks.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
+            batch.unpersist()
 
         writer = posts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(on_batch)
         return writer.queryName("marked_feed").trigger(

@@ -117,6 +117,9 @@ def test_land_temperature(spark):
         ("Abidjan", "Ivory Coast", "CIV", 2000, None, 2.0),
         ("São Paulo", "Brazil", "BRA", 2000, 10.5, None)]
     assert dict(df.dtypes)["Latitude"] == "float" and "dt" not in df.columns
+    listed = clean(spark, cleaning.clean_city_land_temperature, columns,
+                   ("2000-01-01", "1", "1", "paris", "France", "48N", "2E"), listed_codes=True)
+    assert rows(listed.select("City", "Country", "CountryISO")) == [("Paris", "France", None)]
 
 
 # ---- happiness ----
@@ -260,10 +263,9 @@ def test_happiness_mart(spark):
 def test_city_ranking(spark):
     counters = frame(spark, "city string, positive bigint, negative bigint", ("A", 1, None),
                      ("B", None, 1), ("C", 5, 2), ("D", 1, 0))
-    for few in (True, False):
-        got = reports.city_ranking(counters, few_rows=few)
-        assert rows(got, "position") == [
-            (1, "🥇", "C", 3), (2, "🥈", "A", 1), (3, "🥉", "D", 1), (4, "", "B", -1)]
+    got = reports.city_ranking(counters)
+    assert rows(got, "position") == [
+        (1, "🥇", "C", 3), (2, "🥈", "A", 1), (3, "🥉", "D", 1), (4, "", "B", -1)]
     only_good = reports.city_ranking(counters.select("city", "positive"))
     assert rows(only_good.select("city"), "position")[0] == ("C",)
 
