@@ -182,16 +182,14 @@ def clean_happiness(df: DataFrame, exact: bool = True) -> DataFrame:
     df = names.snake_case_columns(df.drop(dedup.ORDINAL))
     df = columns.rename_present(df, {"country_name": "country"})
     df = dedup.distinct_rows(df)
-    if "country" in df.columns:
-        df = joins.add_country_code(df, "country")
     df = columns.to_numbers(df, *fixed.HAPPINESS_NUMERIC)
     fractions = columns.columns_of_type(df, T.DoubleType, T.FloatType)
     df = medians.impute_medians(df, *columns.numeric_columns(df), exact=exact)
     df = columns.to_float32(df, *fractions) if fractions else df
-    df = columns.move_first(df, "country", "CountryISO")
     if "country" in df.columns:
         df = filters.exclude_entity(df, "country", "kosovo", strings.strip_lower)
-    return df
+        df = joins.add_country_code(df, "country")
+    return columns.move_first(df, "country", "CountryISO")
 
 
 def happiness_rules(df: DataFrame) -> dict:
