@@ -4,12 +4,16 @@ Each ``_raw_*`` function gives a table as it would land: all columns text, with
 values, odd spellings and repeated keys.
 """
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from table_queries.registry import Registry, table
 from table_queries.relations import COUNTRY_SQL, spelled_country
 from terravane.operators import aggregates
-from terravane.plans import cleaning, marts, registry as plan_registry
+from terravane.plans import cleaning, flow, marts, registry as plan_registry
+from terravane.sources import landing, zones
+from terravane.staging import fresh_path
 
 registry = Registry()
 
@@ -434,3 +438,26 @@ def mart_weather_index(spark, sf_dir):
         _clean_weather(spark, sf_dir), _clean_index(spark, sf_dir), 1996, 1999)
     return _as_oracle(mart.select("o_orderkey", "Row", "City", "CountryISO", "DateTime",
                                   "Year_x", "Year_y", "aqi", "AverageTemperature"))
+
+
+@registry.query(f"""
+SELECT a."City", a."CountryISO", a."DateTime", a.aqi, h.country, h.source, h.ladder_score
+FROM ({_STATIONS_SQL}) a JOIN ({_HAPPINESS_SQL}) h
+  ON a."CountryISO" IS NOT DISTINCT FROM h."CountryISO"
+""")
+def landing_to_mart(spark, sf_dir):
+    """The whole flow: CSV files, landing zone, trusted zone, exploitation zone, mart."""
+    root, mark = fresh_path(spark, "flow"), uuid.uuid4().hex[:12]
+    raw = {"Current_air_quality_data": _raw_stations(spark, sf_dir).orderBy("event_id"),
+           "world_hapiness_scores": _raw_happiness(spark, sf_dir).withColumnRenamed(
+               "Country  name", "Country name")}
+    for name, df in raw.items():
+        df.write.option("header", True).csv(f"{root}/csv/{name}")
+        landing.land_csv(spark, f"{root}/csv/{name}", f"{root}/lake", name)
+    trusted, served = f"trusted_{mark}", f"served_{mark}"
+    for zone in (trusted, served):
+        zones.create_zone(spark, zone, f"{root}/{zone}")
+    flow.run_all(spark, f"{root}/lake", trusted, served)
+    mart = zones.read_tables(spark, served)[marts.AIR_HAPPINESS_MART]
+    return _as_oracle(mart.select(
+        "City", "CountryISO", "DateTime", "aqi", "country", "source", "ladder_score"))

@@ -88,7 +88,7 @@ def station_payloads(spark, sf_dir):
     return payloads.station_readings(raw, day=F.lit("2024-02-01").cast("date"))
 
 
-def _mixed_topic(spark, sf_dir):
+def mixed_topic(spark, sf_dir):
     """Posts, heartbeats and broken messages made from the events."""
     kind = F.col("event_type")
     post = F.to_json(F.struct(F.lit("POST").alias("message_type"),
@@ -110,7 +110,7 @@ SELECT CASE event_type WHEN 'error' THEN 'HEARTBEAT' WHEN 'signup' THEN 'rejecte
 FROM events GROUP BY 1
 """)
 def route_messages(spark, sf_dir):
-    decoded = messages.decode(_mixed_topic(spark, sf_dir), messages.FORUM_SCHEMA)
+    decoded = messages.decode(mixed_topic(spark, sf_dir), messages.FORUM_SCHEMA)
     good = messages.well_formed(decoded).select("message_type", "score")
     bad = messages.rejected(decoded).select(
         F.lit("rejected").alias("message_type"), F.lit(None).cast("bigint").alias("score"))
@@ -122,6 +122,16 @@ def route_messages(spark, sf_dir):
 SELECT event_id AS id, user_id AS score FROM events WHERE event_type IN ('view', 'click')
 """)
 def forum_posts_only(spark, sf_dir):
-    decoded = messages.decode(_mixed_topic(spark, sf_dir), messages.FORUM_SCHEMA)
+    decoded = messages.decode(mixed_topic(spark, sf_dir), messages.FORUM_SCHEMA)
     posts = messages.of_type(messages.well_formed(decoded), "POST")
     return posts.select(F.col("id").cast("bigint").alias("id"), "score")
+
+
+@registry.query("SELECT CAST(event_id AS VARCHAR) AS id, props AS title, user_id AS score FROM events")
+def message_round_trip(spark, sf_dir):
+    """Rows encoded as message values and decoded again."""
+    rows = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("id"), F.col("props").alias("title"),
+        F.col("user_id").alias("score"))
+    decoded = messages.decode(messages.as_kafka_values(rows), messages.FORUM_SCHEMA)
+    return messages.well_formed(decoded).select("id", "title", "score")

@@ -1,7 +1,10 @@
 """Structured Streaming over the driver tables, drained with ``availableNow``."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
+from table_queries.payloads import mixed_topic
 from table_queries.posts import BAD, GOOD, PLACES, _LABELS, _MENTIONS
 from table_queries.registry import Registry, table
 from terravane.operators import text
@@ -80,11 +83,24 @@ def stream_marked_feed(spark, sf_dir):
     feed_lines = _event_stream(spark, sf_dir).select(
         F.col("user_id").cast("string").alias("author"), stamp.alias("created_at"),
         F.concat_ws("|", "event_type", "event_id").alias("text"))
-    from datetime import datetime
-
     feed = MarkedFeed(spark, f"{root}/marks", datetime(2024, 1, 10), ["CLICK", "view"])
     control.drain([feed.start(
         feed_lines, send_to_folder(f"{root}/sent"), f"{root}/checkpoint", ALL_NOW)])
     sent = messages.read_json_lines(spark, f"{root}/sent", messages.POST_SCHEMA)
     parts = F.split("text", r"\|")
     return sent.select("author", parts[1].cast("bigint").alias("event_id"), parts[0].alias("text"))
+
+
+@registry.query("""
+SELECT CASE event_type WHEN 'error' THEN 'HEARTBEAT' ELSE 'POST' END AS message_type,
+       count(*) AS n
+FROM events WHERE event_type NOT IN ('signup', 'purchase') GROUP BY 1
+""")
+def stream_forum(spark, sf_dir):
+    """Posts and heartbeats land together; broken messages do not."""
+    root = fresh_path(spark, "forum")
+    mixed_topic(spark, sf_dir).write.text(f"{root}/topic")
+    lines = messages.message_stream(spark, f"{root}/topic")
+    control.drain([posts.land_forum(lines, f"{root}/landed", f"{root}/checkpoint", ALL_NOW)])
+    landed = messages.read_json_lines(spark, f"{root}/landed", messages.FORUM_SCHEMA)
+    return landed.groupBy("message_type").agg(F.count(F.lit(1)).alias("n"))

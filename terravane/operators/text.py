@@ -80,6 +80,11 @@ def _per_place(df: DataFrame, alias: str) -> DataFrame:
             .filter(F.col(alias).isNotNull()))
 
 
+def _run_from(words: Column, n: int) -> Callable[[Column, Column], Column]:
+    """Lambda joining the word at a place with the next ``n - 1`` words."""
+    return lambda word, i: F.concat_ws(" ", word, *[F.get(words, i + k) for k in range(1, n)])
+
+
 def place_mentions(df: DataFrame, text: str, gazetteer: DataFrame, keep: Sequence[str],
                    name: str = "place", longest: int = 3, alias: str = "city") -> DataFrame:
     """The ``keep`` columns and the place, per (post, place), for a gazetteer of any size.
@@ -90,16 +95,14 @@ def place_mentions(df: DataFrame, text: str, gazetteer: DataFrame, keep: Sequenc
     columns travel with every run when the gazetteer is too large to broadcast.
     """
     words = F.col("_words")
-
-    def runs_of(n: int) -> Column:
+    runs = F.array_distinct(words)
+    for n in range(2, longest + 1):
         # Near the end of the text concat_ws skips the absent words and so yields a
         # shorter run, which is a run of its own.
-        return F.transform(words, lambda w, i: F.concat_ws(
-            " ", w, *[F.get(words, i + k) for k in range(1, n)]))
-
-    runs = F.array_distinct(F.flatten(F.array(*[runs_of(n) for n in range(1, longest + 1)])))
+        runs = F.array_union(runs, F.transform(words, _run_from(words, n)))
     dim = gazetteer.groupBy(F.btrim(word_text(name)).alias("_run")).agg(F.min(name).alias(alias))
-    split = df.select(*keep, F.split(F.trim(word_text(text)), " ").alias("_words"))
+    split = df.select(*keep, F.array_remove(
+        F.split(F.lower(text), r"[^\p{L}]+"), "").alias("_words"))
     return (split.select(*keep, F.explode(runs).alias("_run"))
             .join(dim, "_run").select(*keep, alias))
 

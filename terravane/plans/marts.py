@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from terravane.functions.dates import as_timestamp, year_between
+from terravane.operators.dedup import ORDINAL
 from terravane.operators.joins import inner_join
 
 AIR_HAPPINESS_MART = "merged_airquality_happiness_2025"
@@ -17,7 +18,8 @@ def air_quality_happiness(air: DataFrame, happiness: DataFrame, match_nulls: boo
 
     Rows without a country code pair with each other unless ``match_nulls`` is off.
     """
-    return inner_join(air, happiness, ["CountryISO"], match_nulls, hot_share=hot_share)
+    return inner_join(air.drop(ORDINAL), happiness.drop(ORDINAL), ["CountryISO"], match_nulls,
+                      hot_share=hot_share)
 
 
 def weather_air_index(weather: DataFrame, index: DataFrame, first_year: int = 2022,
@@ -29,7 +31,7 @@ def weather_air_index(weather: DataFrame, index: DataFrame, first_year: int = 20
     """
     def in_range(df: DataFrame) -> DataFrame:
         df = df.withColumn("DateTime", as_timestamp("DateTime", df.schema["DateTime"].dataType))
-        return df.filter(year_between("DateTime", first_year, last_year))
+        return df.filter(year_between("DateTime", first_year, last_year)).drop(ORDINAL)
 
     return inner_join(in_range(weather), in_range(index), ["CountryISO", "DateTime"],
                       match_nulls, hot_share=hot_share)
