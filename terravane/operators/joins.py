@@ -14,9 +14,9 @@ from terravane.functions.strings import strip_lower
 
 def lookup(df: DataFrame, dimension: DataFrame, key: Column | str, dim_key: str,
            value: str, alias: str) -> DataFrame:
-    """Left lookup of one value. Unmatched rows get NULL.
+    """Left lookup of one value by a key that is unique in the dimension.
 
-    No hint is given: Spark broadcasts the dimension when its known size allows and
+    Unmatched rows get NULL. No hint is given: Spark broadcasts the dimension when its known size allows and
     shuffles both sides otherwise.
     """
     key = F.col(key) if isinstance(key, str) else key

@@ -72,8 +72,13 @@ def latest(df: DataFrame, time: str, n: int = 10, *tie_break: Column) -> DataFra
 
 
 def head(df: DataFrame, n: int = 5, order_by: Sequence | None = None) -> DataFrame:
-    """First rows in row order. Each task keeps n rows; nothing is sorted globally."""
+    """First rows in row order. Each task keeps n rows; nothing is sorted globally.
+
+    A table without an order gives any n rows, which reads no more than it has to.
+    """
     columns = [c for c in df.columns if c != ORDINAL]
+    if not order_by and ORDINAL not in df.columns:
+        return df.limit(n)
     df, order = with_row_order(df, order_by)
     return df.orderBy(*order).limit(n).select(*columns)
 

@@ -36,3 +36,11 @@ def finished_versions(spark: SparkSession, path: str, label: str) -> list[int]:
     fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
     found = fs.globStatus(pattern) or []
     return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+
+
+def drop_versions(spark: SparkSession, path: str, label: str, upto: int) -> None:
+    """Delete the folders ``label=N`` below a path with N at most ``upto``."""
+    for version in finished_versions(spark, path, label):
+        if version <= upto:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{label}={version}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from terravane.fixed_values import COUNTERS
 from terravane.operators.aggregates import counter_of
-from terravane.staging import finished_versions
+from terravane.staging import drop_versions, finished_versions
 
 
 class CounterLog:
@@ -18,8 +18,8 @@ class CounterLog:
     writes only the totals that changed, into a folder named after the batch. A batch
     that is replayed overwrites its own folder, so nothing is counted twice, and the
     current total of a key is its entry in the latest batch. Every ``fold_every``
-    batches the latest totals are also written in one piece, so a reader never looks at
-    more changes than that.
+    batches the latest totals are also written in one piece and older changes are
+    deleted, so the log stays short.
     """
 
     def __init__(self, path: str, key: str = "city", label: str = "assessment",
@@ -39,9 +39,13 @@ class CounterLog:
         spark = changed.sparkSession
         changed.write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
         folds = finished_versions(spark, f"{self.path}/totals", "upto")
-        if batch_id - (folds[-1] if folds else 0) >= self.fold_every:
+        last = folds[-1] if folds else 0
+        if batch_id - last >= self.fold_every:
             self.current_long(spark).write.mode("overwrite").parquet(
                 f"{self.path}/totals/upto={batch_id}")
+            # What the fold before covers is kept up to here for readers already at work.
+            drop_versions(spark, f"{self.path}/changes", "batch_id", last if folds else -1)
+            drop_versions(spark, f"{self.path}/totals", "upto", last - 1)
 
     def start(self, stream: DataFrame, checkpoint: str, trigger: dict | None = None,
               counter: Column | None = None, name: str | None = "count_labels") -> StreamingQuery:
@@ -52,6 +56,8 @@ class CounterLog:
         return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
     def current_long(self, spark: SparkSession) -> DataFrame:
+        if not finished_versions(spark, f"{self.path}/changes", "batch_id"):
+            return spark.createDataFrame([], f"{self.key} string, counter string, n bigint")
         changes = spark.read.parquet(f"{self.path}/changes").select(
             self.key, "counter", "n", F.col("batch_id").cast("bigint").alias("_batch"))
         folds = finished_versions(spark, f"{self.path}/totals", "upto")

@@ -19,9 +19,11 @@ from pyspark.sql.streaming import StreamingQuery
 from terravane.fixed_values import TOPIC_KEYWORDS
 from terravane.functions.dates import iso_instant
 from terravane.functions.strings import contains_any
-from terravane.staging import finished_versions
+from terravane.staging import drop_versions, finished_versions
 
 MARKS_SCHEMA = "author string, mark timestamp"
+# A replay needs the version before the batch; a few more are kept for inspection.
+KEPT_VERSIONS = 10
 
 
 def newer_than_marks(posts: DataFrame, marks: DataFrame, author: str, time: str,
@@ -77,10 +79,13 @@ class MarkedFeed:
         """
         def on_batch(batch: DataFrame, batch_id: int) -> None:
             batch.persist()
-            to_send, marks = self.poll(batch, self.marks_before(batch_id))
-            send(to_send, batch_id)
-            marks.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
-            batch.unpersist()
+            try:
+                to_send, marks = self.poll(batch, self.marks_before(batch_id))
+                send(to_send, batch_id)
+                marks.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
+            finally:
+                batch.unpersist()
+            drop_versions(self.spark, self.path, "version", batch_id - KEPT_VERSIONS)
 
         writer = posts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(on_batch)
         return writer.queryName("marked_feed").trigger(

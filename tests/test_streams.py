@@ -112,9 +112,29 @@ def test_folded_counters_read_the_same(spark, tmp_path):
         for _ in range(2):  # every batch is replayed once
             log.write_batch(changed, batch)
     assert sorted(p.name for p in (tmp_path / "log" / "totals").iterdir()) == ["upto=3", "upto=6"]
+    assert sorted(p.name for p in (tmp_path / "log" / "changes").iterdir()) == [
+        "batch_id=4", "batch_id=5", "batch_id=6", "batch_id=7"]
     assert rows(log.current(spark), "city") == [("C0", 0, 7, 0), ("C1", 0, 8, 0)]
 
 
+def test_counters_before_the_first_batch(spark, tmp_path):
+    current = CounterLog(str(tmp_path / "log")).current(spark)
+    assert current.columns == ["city", "positive", "negative", "neutral"]
+    assert current.count() == 0
+
+
+def test_old_marks_are_dropped(spark, topic, tmp_path):
+    feed = MarkedFeed(spark, str(tmp_path / "marks"))
+    for i in range(13):
+        # One author per file: files written at the same moment arrive in any order.
+        topic.send(post(f"a{i}", f"2025-01-{i + 1:02d}T00:00:00Z", "paris"))
+    stream = messages.well_formed(posts.decoded_posts(topic.stream(1)))
+    control.drain([feed.start(stream, send_to_folder(str(tmp_path / "sent")), str(tmp_path / "cp"),
+                              NOW)], 300)
+    assert len(list((tmp_path / "marks").glob("version=*"))) == 10
+    assert messages.read_json_lines(spark, str(tmp_path / "sent"), messages.POST_SCHEMA).count() == 13
+
+
 def test_marks_compare_with_the_state_before_the_poll(spark, tmp_path):
     feed = MarkedFeed(spark, str(tmp_path / "m"), keywords=["climate"])
     marks = frame(spark, "author string, mark timestamp", ("a", datetime(2025, 1, 1, 10)))
