@@ -12,12 +12,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terravane.functions.strings import WHITE_SPACE, _col
+from terravane.functions.strings import _col
 
-_BLANKS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITE_SPACE) + "]*"
-_DECIMAL = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+# Exponents that overflow a double are no numbers, those that underflow give zero.
+_EXPONENT = r"[eE](?:-[0-9]+|\+?0*(?:[0-9]{1,2}|[12][0-9]{2}|30[0-8]))"
+_DECIMAL = rf"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:{_EXPONENT})?"
 _INFINITE = "[+-]?[iI][nN][fF](?:[iI][nN][iI][tT][yY])?"
-_NUMBER = f"^{_BLANKS}({_DECIMAL}|{_INFINITE}){_BLANKS}$"
+_NUMBER = rf"^\s*({_DECIMAL}|{_INFINITE})\s*$"
 
 
 def num(c: Column | str) -> Column:
