@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from table_queries.registry import Registry, table
 from table_queries.relations import COUNTRY_SQL, spelled_country
 from terravane.operators import aggregates
-from terravane.plans import cleaning, flow, marts, registry as plan_registry
+from terravane.plans import cleaning, flow, marts, quality
+from terravane.plans import registry as plan_registry
 from terravane.sources import landing, zones
 from terravane.staging import fresh_path
 
@@ -398,6 +399,58 @@ def clean_country_indicators(spark, sf_dir):
         _raw_indicators(spark, sf_dir), LINE_ORDER, this_year=2025)
 
 
+# ---- quality reports ------------------------------------------------------------------
+
+@registry.query("""
+SELECT 'historical_weather' AS dataset, rule, violations, n AS "rows" FROM (
+  SELECT count(*) AS n, count(*) FILTER (o_orderdate IS NULL) AS date_unparsed,
+         count(*) FILTER (o_totalprice / 100000 - 1 < 0) AS uncertainty_negative,
+         count(*) FILTER (o_totalprice / 1000 - 300 < -273.15) AS temperature_below_absolute_zero,
+         count(*) FILTER (o_totalprice / 5000 NOT BETWEEN -90 AND 90) AS latitude_outside_range,
+         count(*) FILTER (o_totalprice / 2000 - 50 NOT BETWEEN -180 AND 180) AS longitude_outside_range
+  FROM orders)
+UNPIVOT (violations FOR rule IN (date_unparsed, uncertainty_negative,
+    temperature_below_absolute_zero, latitude_outside_range, longitude_outside_range))
+""")
+def weather_quality(spark, sf_dir):
+    return quality.quality_report("historical_weather", _raw_weather(spark, sf_dir))
+
+
+@registry.query("""
+SELECT 'globallandtemperaturesbymajorcity' AS dataset, rule, violations, n AS "rows" FROM (
+  SELECT count(*) AS n, count(*) FILTER (event_type = 'error') AS date_unparsed,
+         0 AS latitude_unparsed, 0 AS longitude_unparsed,
+         count(*) FILTER (value / 2 NOT BETWEEN -90 AND 90) AS latitude_outside_range,
+         count(*) FILTER (value NOT BETWEEN -180 AND 180) AS longitude_outside_range,
+         count(*) FILTER (value - 10 NOT BETWEEN -100 AND 60) AS temperature_outside_range,
+         count(*) FILTER (value - 5 < 0) AS uncertainty_negative
+  FROM events)
+UNPIVOT (violations FOR rule IN (date_unparsed, latitude_unparsed, longitude_unparsed,
+    latitude_outside_range, longitude_outside_range, temperature_outside_range,
+    uncertainty_negative))
+""")
+def land_temperature_quality(spark, sf_dir):
+    return quality.quality_report("GlobalLandTemperaturesByMajorCity", _raw_land(spark, sf_dir))
+
+
+@registry.query("""
+SELECT 'natural_disaster_database' AS dataset, rule, violations, n AS "rows" FROM (
+  SELECT 2 * count(*) AS n,
+         2 * count(*) FILTER (floor(o_totalprice / 1000) - 100 < 0) AS total_deaths_negative,
+         2 * count(*) FILTER (sd > ed) AS start_after_end
+  FROM (SELECT o_totalprice,
+          try_cast(format('{:04d}-{:02d}-{:02d}', year(o_orderdate),
+              CASE WHEN o_orderpriority <> '5-LOW' THEN month(o_orderdate) ELSE 1 END,
+              day(o_orderdate) + 1) AS DATE) AS sd,
+          make_date(year(o_orderdate),
+              CASE WHEN o_orderstatus <> 'O' THEN month(o_orderdate) ELSE 1 END, 1) AS ed
+        FROM orders))
+UNPIVOT (violations FOR rule IN (total_deaths_negative, start_after_end))
+""")
+def disaster_quality(spark, sf_dir):
+    return quality.quality_report("natural_disaster_database", _raw_disasters(spark, sf_dir))
+
+
 # ---- registry and marts ---------------------------------------------------------------
 
 @registry.query(f"""

@@ -37,6 +37,12 @@ def _without_order(df: DataFrame, had_ordinal: bool) -> DataFrame:
     return df if had_ordinal else df.drop(dedup.ORDINAL)
 
 
+def parsed_names(df: DataFrame) -> DataFrame:
+    """Column names in the form the happiness and disaster plans use."""
+    df = names.snake_case_columns(df.drop(dedup.ORDINAL))
+    return columns.rename_present(df, {"country_name": "country"})
+
+
 def clean_current_air_quality(df: DataFrame, order_by: Sequence | None = None,
                               date_format: str = dates.DATE_FORMAT) -> DataFrame:
     """Station readings: code, date, numbers, first reading per city and day, valid only."""
@@ -179,9 +185,7 @@ def clean_happiness(df: DataFrame, exact: bool = True) -> DataFrame:
 
     The medians are taken over all rows, before the exclusion.
     """
-    df = names.snake_case_columns(df.drop(dedup.ORDINAL))
-    df = columns.rename_present(df, {"country_name": "country"})
-    df = dedup.distinct_rows(df)
+    df = dedup.distinct_rows(parsed_names(df))
     df = columns.to_numbers(df, *fixed.HAPPINESS_NUMERIC)
     fractions = columns.columns_of_type(df, T.DoubleType, T.FloatType)
     df = medians.impute_medians(df, *columns.numeric_columns(df), exact=exact)
@@ -221,8 +225,7 @@ def clean_natural_disasters(df: DataFrame, end_mode: str = "start",
     start of its period and then lifted to the start date; ``"end"`` completes it to
     the end of the period. Amounts stay double, as float would round them.
     """
-    df = names.snake_case_columns(df.drop(dedup.ORDINAL))
-    df = dedup.distinct_rows(df)
+    df = dedup.distinct_rows(parsed_names(df))
     df = columns.transform_present(df, strings.normalize_text, *DISASTER_TEXT)
     df = columns.add_missing(df, **{
         f"{side}_{part}": "string" for side in ("start", "end") for part in ("month", "day")})

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terravane.operators import aggregates
-from terravane.plans import cleaning, marts, registry, reports
+from terravane.plans import cleaning, marts, quality, registry, reports
 from tests.helpers import frame, plan, rows, text_frame
 
 DAY = datetime(2024, 1, 1)
@@ -278,3 +278,17 @@ def test_explorers(spark):
     assert "bin" in reports.numeric_explorer(df.select("a")).columns
     assert reports.numeric_explorer(df.select("n")) is None
     assert reports.numeric_explorer(df, "none") is None
+
+
+def test_quality_reports(spark):
+    raw = text_frame(spark, ("bad", "91", "-1"), ("2024-01-01", None, "x"),
+                     columns="date latitude AverageTemperatureUncertainty")
+    assert rows(quality.quality_report("Historical_Weather", raw).select("rule", "violations", "rows")) == [
+        ("date_unparsed", 1, 2), ("uncertainty_negative", 1, 2), ("latitude_outside_range", 2, 2)]
+    trends = text_frame(spark, ("x", "5"), ("2020", None), columns="Year Rainfall_mm")
+    assert rows(quality.quality_report("GlobalEnvironmentalX", trends).select("rule", "violations")) == [
+        ("Year_not_numeric", 1), ("Rainfall_mm_not_numeric", 1)]
+    scores = text_frame(spark, ("11", "1", "0"), columns="a b c").toDF(
+        "_i", "Ladder score", "lowerwhisker", "upperwhisker")
+    assert rows(quality.quality_report("world", scores).select("violations")) == [(1,), (1,), (1,)]
+    assert quality.quality_report("unknown", scores) is None
