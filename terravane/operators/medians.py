@@ -88,10 +88,14 @@ def spread_medians(df: DataFrame, *names: str) -> DataFrame:
             F.max(F.when(F.col("rank_b").between(F.col("first"), F.col("last")), F.col("v")))
             .alias("b"),
         )
-        .withColumn("median", F.when(F.col("a") == F.col("b"), F.col("a"))
-                    .otherwise(F.col("a") * 0.5 + F.col("b") * 0.5))
     )
-    return middles.agg(*[
+    lost = F.raise_error(F.lit("the quantile bracket missed the median")).cast("double")
+    found = bracket.select("c").join(middles, "c", "left").withColumn(
+        "median",
+        F.when(F.col("a").isNull() | F.col("b").isNull(), lost)
+        .when(F.col("a") == F.col("b"), F.col("a"))
+        .otherwise(F.col("a") * 0.5 + F.col("b") * 0.5))
+    return found.agg(*[
         F.max(F.when(F.col("c") == i, F.col("median"))).alias(n) for i, n in enumerate(names)
     ])
 
