@@ -45,7 +45,11 @@ def advanced_marks(posts: DataFrame, marks: DataFrame, author: str, time: str) -
 
 
 class MarkedFeed:
-    """A feed of (author, created_at, text) filtered by marks and topic words."""
+    """A feed of (author, created_at, text) filtered by marks and topic words.
+
+    ``since`` is the mark of authors that have none yet. A live feed passes its start
+    time, so that older posts are left out; None lets every post of a new author pass.
+    """
 
     def __init__(self, spark: SparkSession, path: str, since: datetime | None = None,
                  keywords: Sequence[str] = tuple(TOPIC_KEYWORDS)):
