@@ -36,7 +36,7 @@ _CODEC = "zstd"
 ORDER = 3
 BACKOFF = 0.4
 #: Bytes of text in a block, on average.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 #: Bits of a key beyond those that number the n-grams: one lookup in 2^30 meets a foreign count.
 SPARE_BITS = 30
 _U64 = np.uint64
