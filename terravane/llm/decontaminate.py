@@ -169,8 +169,15 @@ def without_spans(text: Column, spans: Column) -> Column:
 
     The text is split into words and the gaps around them: gap k stands before word k.
     """
-    tokens = F.regexp_extract_all(text, F.lit(f"({_WORD})"), 1)
-    gaps = F.split(text, _WORD)  # one more than words: it starts and ends with a gap
+    bound = F.array(F.struct(
+        F.regexp_extract_all(text, F.lit(f"({_WORD})"), 1).alias("tokens"),
+        F.split(text, _WORD).alias("gaps"),  # one more than words: it starts and ends with a gap
+        spans.alias("spans")))
+    # bound as a lambda variable, so that the text is split once and not once per word
+    return F.get(F.transform(bound, lambda t: _joined(t["tokens"], t["gaps"], t["spans"])), 0)
+
+
+def _joined(tokens: Column, gaps: Column, spans: Column) -> Column:
     edges = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
     stops = F.concat(F.transform(spans, lambda s: s["at"]), F.array(F.size(tokens)))
     kept = F.transform(F.arrays_zip(edges.alias("a"), stops.alias("b")), lambda e: F.array_join(
@@ -178,5 +185,4 @@ def without_spans(text: Column, spans: Column) -> Column:
             F.filter(F.sequence(e["a"], F.greatest(e["b"], e["a"])), lambda k: k < e["b"]),
             lambda k: F.array(
                 F.when((k == e["a"]) & (k > 0), F.lit("")).otherwise(gaps[k]), tokens[k]))), ""))
-    tail = F.element_at(gaps, -1)
-    return F.trim(F.concat(F.array_join(F.filter(kept, lambda p: p != ""), " "), tail))
+    return F.trim(F.concat(F.array_join(F.filter(kept, lambda p: p != ""), " "), F.element_at(gaps, -1)))

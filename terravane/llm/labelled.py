@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled documents that a model is fitted on, at most; half of each class if there are.
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 8_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -43,13 +43,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str,
 
 def fit_in_one_task(features: DataFrame, fit: Callable[[pa.Table], bytes]) -> bytes:
     """The model that `fit` makes of a bounded table, on an executor; only the model is returned."""
-    schema = features.schema
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
         got = list(batches)
-        table = pa.Table.from_batches(got, schema=got[0].schema if got else to_arrow_schema(schema))
-        yield pa.record_batch({"model": pa.array([fit(table)], pa.binary())})
-
-    return features.repartition(1).mapInArrow(run, "model binary").first()[0]
+        if got:
+            yield pa.record_batch({"model": pa.array([fit(pa.Table.from_batches(got))], pa.binary())})
+
+    made = features.repartition(1).mapInArrow(run, "model binary").first()
+    if made is None:  # no row to learn from
+        return fit(pa.table({"text": pa.array([], pa.string()), "y": pa.array([], pa.int32()),
+                             "weight": pa.array([], pa.float64())}))
+    return made[0]

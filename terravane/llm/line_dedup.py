@@ -68,4 +68,7 @@ def deduplicate_lines(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
 def _without(lines: Column, gone: Column) -> Column:
     """Lines whose positions are not in `gone`, with their line ends."""
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
-    return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    # bound as a lambda variable, so that the text is split once and not once per line
+    bound = F.array(F.struct(lines.alias("lines"), kept.alias("kept")))
+    return F.get(F.transform(bound, lambda t: F.array_join(
+        F.transform(t["kept"], lambda i: F.get(t["lines"], i)), "\n")), 0)

@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once inside a task; a single longer text is handled alone.
-SLICE_BYTES = 4 << 20
-_PIECE_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
+_PIECE_BYTES = 1 << 18
 _U64 = np.uint64
 
 

@@ -29,7 +29,7 @@ END_ID = 2
 #: Tokens after which a block is closed; a single longer document is a block of its own.
 BLOCK_TOKENS = 1 << 20
 #: Different chunks that a worker remembers before it starts anew (memory only).
-_REMEMBERED = 800_000
+_REMEMBERED = 500_000
 
 BLOCK_SCHEMA = ("part int, block int, n_tokens long, rank_ids binary, control binary, "
                 "data binary, doc_ids binary, doc_null binary, doc_tokens binary")

@@ -96,10 +96,14 @@ def fit(table: pa.Table, *, epochs: int = 8, batch: int = 128, rate: float = 1.0
         row = np.concatenate([p.row + base[i] for i, p in enumerate(parts)])
         ends = np.append(first[1:], len(feature))
         of_row = np.searchsorted(row, np.arange(len(y) + 1))
-        doc_of = np.repeat(row, ends - first)
-        toxic = y[doc_of] > 0
-        pairs = np.unique(doc_of[toxic][:, None] * (1 << _BITS) + feature[toxic].astype(np.int64))
-        usable = np.bincount(pairs & (1 << _BITS) - 1, minlength=len(weights)) >= min_docs
+        held = np.zeros(len(weights), np.int64)  # toxic documents with each feature
+        for i, p in enumerate(parts):
+            doc_of = np.repeat(p.row, np.diff(p.first))
+            toxic = y[base[i] + doc_of] > 0
+            pairs = np.unique(doc_of[toxic][:, None] * (1 << _BITS) + p.feature[toxic].astype(np.int64))
+            held += np.bincount(pairs & (1 << _BITS) - 1, minlength=len(weights))
+        usable = held >= min_docs
+        del parts
         squares, bias_squares = np.full(len(weights), 1e-2), 1e-2
         random = np.random.Generator(np.random.PCG64(seed))
         for _ in range(epochs):
