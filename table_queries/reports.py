@@ -69,7 +69,7 @@ SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderke
 def number_all_orders(spark, sf_dir):
     """Row numbers over a whole table by the distributed sort."""
     df = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return ranking.spread_number_rows(
+    return ranking.number_rows(
         df, [F.desc("o_totalprice"), F.col("o_orderkey")]).select("o_orderkey", "position")
 
 

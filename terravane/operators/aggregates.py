@@ -71,10 +71,11 @@ def null_profile(df: DataFrame, *names: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """bin, low, high, n for equal-width bins over [min, max]; empty bins are absent.
 
+    Infinite values have no bin and are left out, like NaN and NULL.
     The range comes from a scalar subquery, so both passes read only this column.
     """
     x = F.col(column).cast("double")
-    values = df.select(x.alias("x")).filter(x.isNotNull() & ~F.isnan(x))
+    values = df.select(x.alias("x")).filter(F.abs(x) < float("inf"))
     span = values.agg(
         F.struct(F.min("x").alias("low"), F.max("x").alias("high")).alias("s")).scalar()
     low, high = span.getField("low"), span.getField("high")

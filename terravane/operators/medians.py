@@ -1,8 +1,7 @@
 """Exact medians without gathering a column in one task.
 
-Spark's ``median`` keeps every distinct value of the column in one aggregation buffer,
-so it is used only for inputs with a small size estimate. Otherwise the column is
-scanned three times, each pass returning only a small,
+Spark's ``median`` keeps every distinct value of the column in one aggregation buffer.
+Here the column is scanned three times, each pass returning only a small,
 bounded summary: a quantile sketch brackets the middle, counts over equal-width slices
 of that bracket find the slice with the middle ranks, and only the values of that
 slice (a few millionths of a smoothly spread column) are ranked exactly. The result is
@@ -15,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terravane.sizes import is_small
 
 _ACCURACY = 1000
 _MARGIN = 4.0 / _ACCURACY
@@ -29,8 +27,6 @@ def exact_medians(df: DataFrame, *names: str) -> DataFrame:
     without values gives NULL.
     """
     numbers = df.select(*[F.nanvl(F.col(n).cast("double"), F.lit(None)).alias(n) for n in names])
-    if is_small(numbers):
-        return numbers.agg(*[F.median(n).alias(n) for n in names])
     return spread_medians(numbers, *names)
 
 

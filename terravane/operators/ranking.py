@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terravane.operators.dedup import ORDINAL, with_row_order
-from terravane.sizes import is_small
 from terravane.staging import enable_checkpoints
 
 MEDALS = ["🥇", "🥈", "🥉"]
@@ -30,16 +29,6 @@ def medal(position: Column) -> Column:
 def number_rows(df: DataFrame, order_by: Sequence, alias: str = "position") -> DataFrame:
     """Number all rows 1, 2, ... in a total order, without a single-task window.
 
-    Only an input with a small size estimate is numbered in one task.
-    """
-    if is_small(df):
-        return number_few_rows(df, order_by, alias)
-    return spread_number_rows(df, order_by, alias)
-
-
-def spread_number_rows(df: DataFrame, order_by: Sequence, alias: str = "position") -> DataFrame:
-    """``number_rows`` for inputs of any size.
-
     The rows are range-partitioned and sorted once and pinned with a checkpoint, as
     both passes below must see the same partitions. A row's number is its place inside
     its partition plus the sizes of the partitions before; only those sizes (one row
@@ -62,11 +51,6 @@ def spread_number_rows(df: DataFrame, order_by: Sequence, alias: str = "position
             .drop("_part", "_place", "_offset"))
 
 
-def number_few_rows(df: DataFrame, order_by: Sequence, alias: str = "position") -> DataFrame:
-    """``number_rows`` in one task."""
-    return df.withColumn(alias, F.row_number().over(Window.orderBy(*order_by)).cast("bigint"))
-
-
 def latest(df: DataFrame, time: str, n: int = 10, *tie_break: Column) -> DataFrame:
     return df.orderBy(F.desc_nulls_last(time), *tie_break).limit(n)
 

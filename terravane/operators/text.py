@@ -16,8 +16,6 @@ from terravane.fixed_values import BAD_WORDS, CITIES, GOOD_WORDS
 from terravane.functions.numbers import let
 from terravane.functions.strings import _col, word_text
 
-MAX_LISTED_PLACES = 1000
-
 
 def _as_words(name: str) -> str:
     """The form a name takes inside ``word_text``."""
@@ -26,10 +24,11 @@ def _as_words(name: str) -> str:
 
 
 def listed_places(text: Column | str, places: Sequence[str] | None = None) -> Column:
-    """Places of a short list that the text names as whole words, each once."""
+    """Places of a list that the text names as whole words, each once.
+
+    The list becomes part of the plan; ``place_mentions`` joins a gazetteer instead.
+    """
     places = [c[0] for c in CITIES] if places is None else list(places)
-    if len(places) > MAX_LISTED_PLACES:
-        raise ValueError("long gazetteers are joined: use place_mentions")
     by_words = {_as_words(p): p for p in places}
     every_word = [w for words in by_words for w in words.split()]
     if len(every_word) == len(set(every_word)):
@@ -86,14 +85,17 @@ def _run_from(words: Column, n: int) -> Callable[[Column, Column], Column]:
 
 
 def place_mentions(df: DataFrame, text: str, gazetteer: DataFrame, keep: Sequence[str],
-                   name: str = "place", longest: int = 3, alias: str = "city") -> DataFrame:
+                   name: str = "place", longest: int | None = None, alias: str = "city") -> DataFrame:
     """The ``keep`` columns and the place, per (post, place), for a gazetteer of any size.
 
-    Each text yields its distinct runs of up to ``longest`` words, which are joined to
-    the gazetteer. The runs are made distinct inside the row, so no shuffle is needed
+    Each text yields its distinct runs of up to ``longest`` words (by default as many as the
+    longest name has, asked of the gazetteer in one small job), which are joined to it. The runs are made distinct inside the row, so no shuffle is needed
     to make the result distinct. Keep an identifier rather than the text: the kept
     columns travel with every run when the gazetteer is too large to broadcast.
     """
+    if longest is None:
+        spaces = F.length(F.regexp_replace(F.btrim(word_text(name)), "[^ ]", ""))
+        longest = (gazetteer.agg(F.max(spaces)).first()[0] or 0) + 1
     words = F.col("_words")
     runs = F.array_distinct(words)
     for n in range(2, longest + 1):

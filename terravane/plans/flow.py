@@ -10,6 +10,14 @@ from terravane.sources import zones
 from terravane.sources.landing import read_zone
 
 
+class IncompleteRun(RuntimeError):
+    """Some landed tables could not be read: ``failed`` (table -> reason), ``built`` marts."""
+
+    def __init__(self, failed: dict[str, str], built: list[str]):
+        super().__init__(f"tables not read: {failed}; marts built: {built}")
+        self.failed, self.built = failed, built
+
+
 def refresh_trusted(spark: SparkSession, landing_root: str, trusted: str,
                     file_format: str = "parquet") -> dict[str, str]:
     """Clean every landed table into the trusted zone; one job per table.
@@ -48,5 +56,9 @@ def refresh_exploitation(spark: SparkSession, trusted: str, exploitation: str,
 
 def run_all(spark: SparkSession, landing_root: str, trusted: str = "trusted",
             exploitation: str = "exploitation", mart_mode: str = "ignore") -> list[str]:
-    refresh_trusted(spark, landing_root, trusted)
-    return refresh_exploitation(spark, trusted, exploitation, mart_mode)
+    """Both steps over all readable tables; then fails if a landed table could not be read."""
+    failed = refresh_trusted(spark, landing_root, trusted)
+    built = refresh_exploitation(spark, trusted, exploitation, mart_mode)
+    if failed:
+        raise IncompleteRun(failed, built)
+    return built

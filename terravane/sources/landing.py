@@ -39,8 +39,16 @@ def read_csv(spark: SparkSession, path: str | Sequence[str],
              on_clash: str = "fail") -> DataFrame:
     """CSV with a header row. All columns are text unless a schema is given.
 
-    Several paths are read as one table. Column names are sanitised for landing.
+    Several paths are read as one table, matched by column name; a column that a part lacks
+    is NULL there. Column names are sanitised for landing.
     """
+    if not isinstance(path, str) and len(path) > 1:
+        parts = [read_csv(spark, p, schema, ordinal, on_clash) for p in path]
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.unionByName(part, allowMissingColumns=True)
+        names = [c for c in whole.columns if c != ORDINAL]
+        return whole.select(*names, *([ORDINAL] if ordinal else []))
     reader = spark.read.option("header", True)
     reader = reader.schema(schema) if schema is not None else reader
     scan = reader.csv(path if isinstance(path, str) else list(path))

@@ -43,12 +43,14 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
-def kafka_options(topic: str, servers: str, group: str | None = None) -> dict[str, str]:
+def kafka_options(topic: str, servers: str, group: str | None = None,
+                  fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Reader options. Expired offsets stop the query unless that is switched off."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "latest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     return options | ({"kafka.group.id": group} if group else {})
 
@@ -69,17 +71,18 @@ def message_stream(spark: SparkSession, source: str, files_per_trigger: int | No
 
 
 def decode(messages: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Typed columns plus ``_raw`` and ``_corrupt``; blank messages are dropped.
+    """Typed columns plus ``_raw`` and ``_corrupt``; messages of white space only are dropped.
 
-    ``_corrupt`` holds the message if it is not a JSON object.
+    ``_corrupt`` holds the message if it is not a JSON object. A field of another type than
+    the schema's is NULL, and the message stays.
     """
-    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(F.col(value), wide, {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = F.from_json(F.col(value), schema, {"mode": "PERMISSIVE"})
+    is_object = F.from_json(F.col(value), "map<string,string>").isNotNull()
     return (
-        messages.filter(F.trim(F.col(value)) != "")
-        .select(F.col(value).alias("_raw"), parsed.alias("_m"))
-        .select("_raw", "_m.*")
+        messages.filter(F.col(value).rlike(r"\S"))
+        .select(F.col(value).alias("_raw"), parsed.alias("_m"),
+                F.when(~is_object, F.col(value)).alias(CORRUPT))
+        .select("_raw", "_m.*", CORRUPT)
     )
 
 

@@ -212,7 +212,7 @@ def test_observed_counts_ride_on_the_write(spark):
 def test_ranking_numbers_whole_table(spark):
     df = spark.range(5000).select(F.col("id"), (F.col("id") % 3).alias("s"))
     order = [F.desc("s"), F.col("id")]
-    spread = ranking.spread_number_rows(df, order)
+    spread = ranking.number_rows(df, order)
     assert rows(spread.select("position", "id"), "position") == rows(
         ranking.number_few_rows(df, order).select("position", "id"), "position")
 
