@@ -212,9 +212,8 @@ def test_observed_counts_ride_on_the_write(spark):
 def test_ranking_numbers_whole_table(spark):
     df = spark.range(5000).select(F.col("id"), (F.col("id") % 3).alias("s"))
     order = [F.desc("s"), F.col("id")]
-    spread = ranking.number_rows(df, order)
-    assert rows(spread.select("position", "id"), "position") == rows(
-        ranking.number_few_rows(df, order).select("position", "id"), "position")
+    numbered = rows(ranking.number_rows(df, order).select("position", "id"), "position")
+    assert numbered == list(enumerate(sorted(range(5000), key=lambda i: (-(i % 3), i)), start=1))
 
 
 def test_net_score_treats_missing_as_zero(spark):
