@@ -28,6 +28,7 @@ from terravane.llm import (
     token_files,
     toxicity,
 )
+from terravane.llm.labelled import held_out, training_sample
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, tie string, w int, row int"
@@ -330,3 +331,12 @@ def test_pipeline(spark):
         docs = following.cache()
     assert {r.doc_id for r in docs.collect()} == set(got)
     assert sum(r.n_tokens for r in got.values()) == max(r.start + r.n_tokens for r in got.values())
+
+
+def test_training_sample_is_exact_under_the_bound(spark):
+    docs = spark.range(30_000).selectExpr("id doc_id", "'x' text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 5 = 0 as int) quality")
+    got = training_sample(docs, labels, "quality", 600).groupBy("y").agg(
+        F.count("*").alias("n"), F.sum("weight").alias("w")).collect()
+    known = labels.where(~held_out(F.col("doc_id"))).groupBy("quality").count().collect()
+    assert {r.y: (r.n, round(r.w)) for r in got} == {r.quality: (300, r["count"]) for r in known}
