@@ -1,8 +1,9 @@
 """Toxicity by multiple-instance learning: sentences are scored, documents are labelled.
 
-A sentence has a logistic score over hashed words and word beginnings. A document is toxic if
-any sentence is: P = 1 - prod(1 - p_s), noisy-or. The document labels train the sentence
-scores through that formula; afterwards the scores point at the offending sentences.
+A sentence has a score over hashed words and word beginnings: its logistic evidence beyond that
+of a sentence that shows nothing, so a long clean document does not add up to a toxic one. A
+document is toxic if any sentence is: P = 1 - prod(1 - p_s), noisy-or. The document labels train
+the sentence scores through that formula; afterwards the scores point at the offending sentences.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from terravane.llm.textbytes import RunHash, Words, byte_class, lower_ascii, sli
 THRESHOLD = 0.7
 #: A sentence is pointed at from this score on.
 SENTENCE_THRESHOLD = 0.5
+#: Chance of a toxic label that no sentence accounts for; only training knows it.
+LEAK = 0.02
 _BITS = 18
 _PREFIXES = (4, 5, 6)
 _WORD_BYTES = byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
@@ -31,7 +34,7 @@ _hashes = [RunHash(31 + k) for k in range(1 + len(_PREFIXES))]
 
 @dataclass
 class Sentences:
-    """feature: (words, kinds) ids; first: index of the first word of each sentence, with the
+    """feature: (words, kinds) ids; first: index of the first of them of each sentence, with the
     total; row: of each sentence; begin, end: byte range of each sentence's words."""
 
     feature: np.ndarray
@@ -42,7 +45,10 @@ class Sentences:
 
 
 def sentences(data: np.ndarray, offs: np.ndarray) -> Sentences:
-    """Sentences (with at least one word) of a text column, with their features."""
+    """Sentences (with at least one word) of a text column, with their features.
+
+    A word equal to the one before it in the sentence has no features of its own.
+    """
     data = lower_ascii(data)
     words = Words(data, offs, _WORD_BYTES)
     row = words.row
@@ -57,7 +63,15 @@ def sentences(data: np.ndarray, offs: np.ndarray) -> Sentences:
         end = words.end if k == 0 else np.minimum(words.start + _PREFIXES[k - 1], words.end)
         feature[:, k] = code(data, words.start, end) >> shift
     last = first[1:] - 1
-    return Sentences(feature, first, row[first[:-1]], words.start[first[:-1]], words.end[last])
+    kept = new.copy()  # a word said over and over says no more than once
+    kept[1:] |= feature[1:, 0] != feature[:-1, 0]
+    return Sentences(feature[kept], np.append(np.flatnonzero(new[kept]), kept.sum()),
+                     row[first[:-1]], words.start[first[:-1]], words.end[last])
+
+
+def evidence(z: np.ndarray, bias: float) -> np.ndarray:
+    """-log(1 - p) of sentences with log-odds z, less that of one without any weighted word."""
+    return np.maximum(np.logaddexp(0, z) - np.logaddexp(0, bias), 0)
 
 
 @dataclass
@@ -70,8 +84,8 @@ class Model:
         if not len(s.row):
             return np.zeros(0), np.zeros(rows)
         z = self.bias + np.add.reduceat(self.weights[s.feature].sum(axis=1, dtype=np.float64), s.first[:-1])
-        q = np.bincount(s.row, np.logaddexp(0, z), minlength=rows)
-        return 1 / (1 + np.exp(-np.clip(z, -50, 50))), -np.expm1(-q)
+        q = evidence(z, self.bias)
+        return -np.expm1(-q), -np.expm1(-np.bincount(s.row, q, minlength=rows))
 
 
 def fit(table: pa.Table, *, epochs: int = 8, batch: int = 128, rate: float = 1.0,
@@ -84,8 +98,7 @@ def fit(table: pa.Table, *, epochs: int = 8, batch: int = 128, rate: float = 1.0
     weights = np.zeros(1 << _BITS)
     y = np.asarray(table.column("y"), np.float64)
     share = np.asarray(table.column("weight"), np.float64)
-    # one sentence in a few hundred is toxic before anything is known
-    model = Model(weights, -6.0)
+    model = Model(weights, -6.0)  # words worth six in log-odds make a sentence doubtful
     if len(y) and y.min() < y.max():
         share = share / share.mean()
         parts = [sentences(*texts(rows.column("text"))) for rows in slices(table)]
@@ -104,7 +117,7 @@ def fit(table: pa.Table, *, epochs: int = 8, batch: int = 128, rate: float = 1.0
             held += np.bincount(pairs & (1 << _BITS) - 1, minlength=len(weights))
         usable = held >= min_docs
         del parts
-        squares, bias_squares = np.full(len(weights), 1e-2), 1e-2
+        squares = np.full(len(weights), 1e-2)
         random = np.random.Generator(np.random.PCG64(seed))
         for _ in range(epochs):
             order = random.permutation(len(y))
@@ -123,7 +136,7 @@ def fit(table: pa.Table, *, epochs: int = 8, batch: int = 128, rate: float = 1.0
                 z = model.bias + np.add.reduceat(weights[ids].sum(axis=1), shift)
                 p = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
                 doc_first = np.cumsum(n_sent) - n_sent
-                q = np.maximum(np.add.reduceat(np.logaddexp(0, z), doc_first), 1e-12)
+                q = LEAK + np.add.reduceat(evidence(z, model.bias), doc_first)
                 slope = np.where(y[docs] > 0, -np.exp(-q) / -np.expm1(-q), 1.0) * share[docs]
                 g = np.clip(p * np.repeat(slope, n_sent), -5, 5) / len(docs) * 16
                 used, place = np.unique(ids, return_inverse=True)
@@ -131,9 +144,6 @@ def fit(table: pa.Table, *, epochs: int = 8, batch: int = 128, rate: float = 1.0
                 gw = np.bincount(place.reshape(-1), spread) * usable[used]
                 squares[used] += gw * gw
                 weights[used] = np.maximum(weights[used] - rate * gw / np.sqrt(squares[used]), 0)
-                gb = float(g.sum())
-                bias_squares += gb * gb
-                model.bias -= 0.1 * rate * gb / np.sqrt(bias_squares)
     return pickle.dumps((weights.astype(np.float32), float(model.bias)))
 
 
@@ -141,7 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
           train_rows: int = TRAIN_ROWS) -> Model:
     """Sentence model from at most `train_rows` document labels outside the held-out fold.
 
-    Without labels of both classes the model gives every sentence the same low score.
+    Without labels of both classes the model gives every sentence the score 0.
     """
     return Model(*pickle.loads(fit_in_one_task(training_sample(docs, labels, label, train_rows), fit)))
 

@@ -340,3 +340,12 @@ def test_training_sample_is_exact_under_the_bound(spark):
         F.count("*").alias("n"), F.sum("weight").alias("w")).collect()
     known = labels.where(~held_out(F.col("doc_id"))).groupBy("quality").count().collect()
     assert {r.y: (r.n, round(r.w)) for r in got} == {r.quality: (300, r["count"]) for r in known}
+
+
+def test_long_clean_documents_are_not_toxic():
+    model = toxicity.Model(np.zeros(1 << 18, np.float32), -6.0)
+    text = b"Nothing to see here. " * 5_000 + b"scum " * 50
+    found = toxicity.sentences(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert model.scores(found, 1)[1][0] == 0
+    model.weights[found.feature[-1]] = 0.5  # said 50 times, counted once
+    assert model.scores(found, 1)[1][0] < 0.1
