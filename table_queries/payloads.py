@@ -53,15 +53,21 @@ JOIN (VALUES (0, 'Paris', 48.85, 2.35), (1, 'Lima', -12.04, -77.03), (2, 'Cairo'
      AS c(k, city, lat, lon) ON label = k
 """)
 def weather_payloads(spark, sf_dir):
-    """Each vector as one landed weather payload; labels without a known city are rejected."""
+    """Each vector as one landed weather payload. Rejected: labels without a known city, and
+    one more payload per vector whose last day comes before its first, or is no day at all."""
     city = (F.when(F.col("label") == 0, "Paris").when(F.col("label") == 1, "Lima")
             .when(F.col("label") == 2, "Cairo").otherwise("Atlantis"))
     start = F.lit("2024-01-01").cast("date")
     daily = F.struct(
         start.alias("start"), F.date_add(start, F.size("embedding") - 1).alias("end"),
         F.col("embedding").cast("array<double>").alias("temperature_2m_mean"))
-    raw = table(spark, sf_dir, "embeddings").select(
-        F.to_json(F.struct(city.alias("city"), daily.alias("daily"))).alias("value"))
+    broken = daily.withField("end", F.when(F.col("vec_id") % 2 == 0, F.lit("2023-12-31"))
+                             .otherwise(F.lit("soon")))
+    vectors = table(spark, sf_dir, "embeddings").select(
+        city.alias("city"), daily.alias("daily"), broken.alias("broken"))
+    raw = vectors.select(F.explode(F.array(
+        F.to_json(F.struct("city", "daily")),
+        F.to_json(F.struct("city", F.col("broken").alias("daily"))))).alias("value"))
     days, _ = payloads.daily_weather(raw)
     return days.withColumn("temperature_2m_mean", F.round("temperature_2m_mean", 5))
 

@@ -81,6 +81,44 @@ def zone_upsert(spark, sf_dir):
     return zones.read_tables(spark, zone)["amounts"]
 
 
+@registry.query("""
+SELECT s_suppkey AS id, coalesce(l.n, s_nationkey) AS n, s_nationkey % 3 AS part
+FROM supplier LEFT JOIN (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1) AS l
+ON s_suppkey = l_suppkey
+""")
+def zone_upsert_partitioned(spark, sf_dir):
+    """Merge into a partitioned table; it stays partitioned."""
+    zone = f"zone_{uuid.uuid4().hex[:12]}"
+    zones.create_zone(spark, zone, fresh_path(spark, zone))
+    supplier = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.col("s_nationkey").cast("bigint").alias("n"),
+        (F.col("s_nationkey") % 3).alias("part"))
+    zones.save_table(supplier, zone, "parts", partition_by=["part"])
+    sold = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("id")).agg(
+        F.count(F.lit(1)).alias("n"))
+    zones.upsert_table(supplier.drop("n").join(sold, "id"), zone, "parts", ["id"])
+    parts = [c.name for c in spark.catalog.listColumns(f"{zone}.parts") if c.isPartition]
+    if parts != ["part"]:
+        raise AssertionError(f"partitioning lost: {parts}")
+    return zones.read_tables(spark, zone)["parts"]
+
+
+@registry.query("""
+SELECT text FROM (
+  SELECT doc_id, text FROM documents WHERE doc_id % 3 > 0
+  ORDER BY doc_id % 3 DESC, doc_id DESC LIMIT 5)
+""")
+def stream_file_tail(spark, sf_dir):
+    """Last lines of a stream folder whose first file is much smaller than its second."""
+    path = fresh_path(spark, "tail")
+    docs = table(spark, sf_dir, "documents")
+    for k in (1, 2):  # file 2 is written later
+        (docs.filter(F.col("doc_id") % 3 == k).orderBy("doc_id").select("text")
+         .coalesce(1).write.mode("append").json(path))
+    lines = messages.read_json_lines(spark, path, messages.POST_SCHEMA, ordinal=True)
+    return ranking.tail(lines, 5).select("text")
+
+
 @registry.query("SELECT doc_id AS author, text FROM documents")
 def json_lines(spark, sf_dir):
     """JSON Lines out and in; texts keep every character."""

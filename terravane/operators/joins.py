@@ -67,14 +67,16 @@ def lookup_rejects(df: DataFrame, dimension: DataFrame, key: str, dim_key: str)
 
 def inner_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                match_nulls: bool = False, suffixes: tuple[str, str] = ("_x", "_y"),
-               hot_share: float | None = None, salts: int = 32) -> DataFrame:
+               hot_share: float | None = None, salts: int = 32,
+               null_salts: int = 1) -> DataFrame:
     """Many-to-many inner equi-join with suffixes for clashing columns.
 
     ``match_nulls`` lets missing keys pair with each other. Columns clash when their
     names differ at most by case. Spark picks the join kind and splits skewed
     partitions at run time; ``hot_share`` additionally salts every key that holds more
     than that share of the left rows (at most ``1 / hot_share`` keys can, which bounds
-    the broadcast list of hot keys).
+    the broadcast list of hot keys). ``null_salts`` deals the left rows with a missing key
+    out to so many parts, if missing keys pair; their partners are copied to each part.
     """
     keys = list(keys)
     folded = {k.lower() for k in keys}
@@ -93,9 +95,26 @@ def inner_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     if hot_share is not None:
         left, right = _salted(left, right, keys, hot_share, salts)
         condition.append(F.col("_salt") == F.col("_right_salt"))
+    if match_nulls and null_salts > 1:
+        left, right = _nulls_salted(left, right, keys, null_salts)
+        condition.append(F.col("_part") == F.col("_right_part"))
     return left.join(right, reduce(lambda a, b: a & b, condition), "inner").select(*output)
 
 
+def _nulls_salted(left: DataFrame, right: DataFrame, keys: list[str],
+                  salts: int) -> tuple[DataFrame, DataFrame]:
+    """Spread the left rows with a missing key; needs no pass to find the key that is hot."""
+    def incomplete(prefix: str) -> Column:
+        return reduce(lambda a, b: a | b, [F.col(f"{prefix}{k}").isNull() for k in keys])
+
+    zero = F.lit(0).cast("bigint")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts))
+    every = F.sequence(zero, F.lit(salts - 1).cast("bigint"))
+    return (left.withColumn("_part", F.when(incomplete(""), salt).otherwise(zero)),
+            right.withColumn("_right_part", F.explode(
+                F.when(incomplete("_right_"), every).otherwise(F.array(zero)))))
+
+
 def _salted(left: DataFrame, right: DataFrame, keys: list[str], hot_share: float,
             salts: int) -> tuple[DataFrame, DataFrame]:
     """Spread the hot keys of ``left`` over salts and copy their partners to each salt."""

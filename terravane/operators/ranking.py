@@ -68,7 +68,12 @@ def head(df: DataFrame, n: int = 5, order_by: Sequence | None = None) -> DataFra
 
 
 def tail(df: DataFrame, n: int = 5, order_by: Sequence | None = None) -> DataFrame:
-    """Last rows in row order."""
+    """Last rows in row order: ``order_by``, or the landed ordinal.
+
+    A table with neither has no last rows; the order of a scan depends on file sizes.
+    """
+    if not order_by and ORDINAL not in df.columns:
+        raise ValueError("tail needs order_by or a landed ordinal")
     columns = [c for c in df.columns if c != ORDINAL]
     df, order = with_row_order(df, order_by)
     last = [c.desc() if isinstance(c, Column) else F.desc(c) for c in order]

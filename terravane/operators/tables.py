@@ -29,7 +29,13 @@ def primary_or_backup(primary: DataFrame | None, backup: DataFrame) -> DataFrame
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows replace target rows with the same key; the other rows are kept.
 
-    Missing keys never match. Keys are expected to be unique in the source.
+    Missing keys never match. The query fails if a complete key occurs twice in the source,
+    as it would be open which row wins.
     """
+    complete = source.dropna("any", subset=list(keys))
+    repeated = complete.groupBy(*keys).count().filter("count > 1").limit(1).select(
+        F.lit(1).alias("one"))
+    source = source.filter(F.when(repeated.exists(), F.raise_error(
+        F.lit("a key occurs twice in the source")).cast("boolean")).otherwise(F.lit(True)))
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(source.select(*target.columns))

@@ -143,7 +143,7 @@ def clean_environment_trends(df: DataFrame, order_by: Sequence | None = None,
 
 
 def clean_city_land_temperature(df: DataFrame, order_by: Sequence | None = None,
-                                date_format: str = dates.DATE_FORMAT,
+                                date_format: str = dates.DATE_TIME_FORMAT,
                                 listed_codes: bool = False) -> DataFrame:
     """Monthly land temperature per major city.
 

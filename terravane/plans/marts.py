@@ -10,6 +10,8 @@ from terravane.operators.joins import inner_join
 
 AIR_HAPPINESS_MART = "merged_airquality_happiness_2025"
 WEATHER_INDEX_MART = "merged_hw_aq_2022_2025"
+# Parts that the rows without a country code are dealt out to.
+NULL_SALTS = 32
 
 
 def air_quality_happiness(air: DataFrame, happiness: DataFrame, match_nulls: bool = True,
@@ -19,7 +21,7 @@ def air_quality_happiness(air: DataFrame, happiness: DataFrame, match_nulls: boo
     Rows without a country code pair with each other unless ``match_nulls`` is off.
     """
     return inner_join(air.drop(ORDINAL), happiness.drop(ORDINAL), ["CountryISO"], match_nulls,
-                      hot_share=hot_share)
+                      hot_share=hot_share, null_salts=NULL_SALTS)
 
 
 def weather_air_index(weather: DataFrame, index: DataFrame, first_year: int = 2022,
@@ -34,4 +36,4 @@ def weather_air_index(weather: DataFrame, index: DataFrame, first_year: int = 20
         return df.filter(year_between("DateTime", first_year, last_year)).drop(ORDINAL)
 
     return inner_join(in_range(weather), in_range(index), ["CountryISO", "DateTime"],
-                      match_nulls, hot_share=hot_share)
+                      match_nulls, hot_share=hot_share, null_salts=NULL_SALTS)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from terravane.operators.dedup import ORDINAL
+
 CORRUPT = "_corrupt"
 
 
@@ -38,9 +40,20 @@ FORUM_SCHEMA = T.StructType([
 ])
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """JSON Lines as a batch; blank lines are skipped, broken ones give NULLs."""
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType,
+                    ordinal: bool = False) -> DataFrame:
+    """JSON Lines as a batch; blank lines are skipped, broken ones give NULLs.
+
+    ``ordinal`` adds the landed order: by the time a file was written, then its lines.
+    """
+    scan = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    if not ordinal:
+        return scan
+    return scan.withColumn(ORDINAL, F.struct(
+        F.col("_metadata.file_modification_time").alias("written"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row")))
 
 
 def kafka_options(topic: str, servers: str, group: str | None = None,

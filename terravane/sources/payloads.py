@@ -30,16 +30,23 @@ def dated_values(df: DataFrame, start: Column, end: Column, values: Column,
 
 def daily_weather(payloads: DataFrame, value: str = "value",
                   cities: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(date, temperature_2m_mean, city, latitude, longitude; payloads of unknown cities)."""
+    """(date, temperature_2m_mean, city, latitude, longitude; rejected payloads).
+
+    Rejected are payloads without a city, of an unknown one, without a readable first and
+    last day in this order, or with another number of values than days. A bad payload
+    costs its own city only.
+    """
     parsed = payloads.select(F.from_json(F.col(value), WEATHER_TYPE).alias("p")).select("p.*")
-    known, rejected = add_coordinates(parsed, "city", cities)
-    days = dated_values(
-        known,
-        lenient_timestamp("daily.start").cast("date"),
-        lenient_timestamp("daily.end").cast("date"),
-        F.col("daily.temperature_2m_mean"),
-        "temperature_2m_mean",
-    )
+    first, last = (lenient_timestamp(f"daily.{end}").cast("date") for end in ("start", "end"))
+    values = F.col("daily.temperature_2m_mean")
+    checked = parsed.withColumns({"_first": first, "_last": last}).withColumn("_fits", F.coalesce(
+        F.col("city").isNotNull() & (F.col("_first") <= F.col("_last"))
+        & (F.size(values) == F.datediff("_last", "_first") + 1), F.lit(False)))
+    known, unknown = add_coordinates(checked.filter("_fits"), "city", cities)
+    rejected = checked.filter("not _fits").unionByName(unknown).drop("_first", "_last", "_fits")
+    # Filters may move; a range that does not fit must be harmless wherever it is evaluated.
+    start = F.when(F.col("_first") <= F.col("_last"), F.col("_first"))
+    days = dated_values(known, start, F.col("_last"), values, "temperature_2m_mean")
     columns = ["date", "temperature_2m_mean", "city", "latitude", "longitude"]
     return days.select(*columns), rejected
 

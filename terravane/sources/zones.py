@@ -73,12 +73,21 @@ def reset_zone(spark: SparkSession, zone: str) -> list[str]:
 def upsert_table(source: DataFrame, zone: str, name: str, keys: Sequence[str]) -> None:
     """Merge rows into a table: matches are replaced, the rest is added.
 
-    The merged rows are written under a new name first, as a table cannot be
-    overwritten while it is read. If the job dies in between, the old table is whole.
+    The merged rows are written under a name of their own first, as a table cannot be
+    overwritten while it is read, and then replace the table's rows; definition and
+    partitioning stay. Merged rows that a crash left behind are whole, as they get their
+    name last: the next call puts them in place before its own.
     """
     spark = source.sparkSession
-    staged = f"{name}__merged"
-    merged = upsert_rows(spark.table(_quoted(zone, name)), source, keys)
-    merged.write.mode("overwrite").saveAsTable(_quoted(zone, staged))
-    spark.sql(f"DROP TABLE {_quoted(zone, name)}")
-    spark.sql(f"ALTER TABLE {_quoted(zone, staged)} RENAME TO {_quoted(zone, name)}")
+    table, merging, merged = (_quoted(zone, f"{name}{end}") for end in ("", "__merging", "__merged"))
+
+    def put_in_place() -> None:
+        rows = spark.table(merged).select(*spark.table(table).columns)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").insertInto(table)
+        spark.sql(f"DROP TABLE {merged}")
+
+    if spark.catalog.tableExists(merged):
+        put_in_place()
+    upsert_rows(spark.table(table), source, keys).write.mode("overwrite").saveAsTable(merging)
+    spark.sql(f"ALTER TABLE {merging} RENAME TO {merged}")
+    put_in_place()

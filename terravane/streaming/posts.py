@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from terravane.functions.dates import iso_instant
 from terravane.operators.text import enrich_posts
 from terravane.sources import messages
 from terravane.streaming.counters import CounterLog
@@ -17,7 +19,12 @@ def decoded_posts(lines: DataFrame) -> DataFrame:
 
 
 def drop_repeats(posts: DataFrame, delay: str = "1 hour", time: str = "event_time") -> DataFrame:
-    """Optional: drop a post that arrives again within ``delay`` of event time."""
+    """Optional: drop a post that arrives again within ``delay`` of event time.
+
+    Without a column of that name the time is ``created_at``, or the arrival if that is no time.
+    """
+    if time not in posts.columns:
+        posts = posts.withColumn(time, F.coalesce(iso_instant("created_at"), F.current_timestamp()))
     return (posts.withWatermark(time, delay)
             .dropDuplicatesWithinWatermark(["author", "created_at", "text"]))
 

@@ -110,6 +110,8 @@ def test_salted_join_equals_plain_join(spark, match_nulls):
     plain = joins.inner_join(left, right, ["k"], match_nulls)
     salted = joins.inner_join(left, right, ["k"], match_nulls, hot_share=0.2, salts=8)
     assert rows(salted, "a", "b") == rows(plain, "a", "b")
+    nulls = joins.inner_join(left, right, ["k"], match_nulls, null_salts=4)
+    assert rows(nulls, "a", "b") == rows(plain, "a", "b")
 
 
 # ---- medians ----
@@ -224,6 +226,8 @@ def test_net_score_treats_missing_as_zero(spark):
 
 def test_top_rows_are_not_sorted_globally(spark):
     df = spark.range(100).toDF("id")
+    with pytest.raises(ValueError):
+        ranking.tail(df, 3)
     for top in (ranking.head(df, 3, ["id"]), ranking.tail(df, 3, ["id"]),
                 ranking.latest(df, "id", 3)):
         assert "TakeOrderedAndProject" in plan(top)

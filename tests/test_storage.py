@@ -89,7 +89,16 @@ def test_catalog_zone(spark, zone):
     assert set(zones.zone_heads(spark, zone, 1)) == {"a", "b"}
     zones.upsert_table(frame(spark, "x int", (3,), (4,)), zone, "b", ["x"])
     assert rows(zones.read_tables(spark, zone)["b"], "x") == [(2,), (3,), (4,)]
-    assert zones.reset_zone(spark, zone) == ["a", "b"]
+    with pytest.raises(Exception, match="twice"):
+        zones.upsert_table(frame(spark, "x int", (5,), (5,)), zone, "b", ["x"])
+    zones.save_table(frame(spark, "x int", (7,)), zone, "b__merged")  # as a crash leaves it
+    zones.upsert_table(frame(spark, "x int", (None,), (None,)), zone, "b", ["x"])
+    assert rows(zones.read_tables(spark, zone)["b"], "x") == [(None,), (None,), (7,)]
+    zones.save_table(frame(spark, "x int, p int", (1, 1), (2, 2)), zone, "c", partition_by=["p"])
+    zones.upsert_table(frame(spark, "x int, p int", (1, 3)), zone, "c", ["x"])
+    assert [c.name for c in spark.catalog.listColumns(f"{zone}.c") if c.isPartition] == ["p"]
+    assert rows(zones.read_tables(spark, zone)["c"], "x") == [(1, 3), (2, 2)]
+    assert [t for t in zones.reset_zone(spark, zone) if "__" not in t] == ["a", "b", "c"]
     assert zones.table_names(spark, zone) == []
 
 
@@ -100,10 +109,14 @@ def test_weather_payloads(spark):
         '"temperature_2m_mean": [5.1, null, 6.3]}}',
         '{"city": "Atlantis", "daily": {"start": "2024-01-01", "end": "2024-01-01", '
         '"temperature_2m_mean": [1.0]}}', columns="value")
+    bad = [f'{{"city": "{c}", "daily": {{"start": "{a}", "end": "{b}", "temperature_2m_mean": [{v}]}}}}'
+           for c, a, b, v in (("Paris", "2024-01-02", "2024-01-01", "1.0"), ("Rome", "x", "2024-01-01", "1.0"),
+                              ("Lima", "2024-01-01", "2024-01-01", "1.0, 2.0"))]
+    raw = raw.unionByName(text_frame(spark, *bad, "no JSON", columns="value"))
     days, unknown = payloads.daily_weather(raw)
     assert [(str(r.date), r.temperature_2m_mean, r.latitude) for r in days.orderBy("date").collect()] == [
         ("2024-01-01", 5.1, 40.42), ("2024-01-02", None, 40.42), ("2024-01-03", 6.3, 40.42)]
-    assert rows(unknown.select("city")) == [("Atlantis",)]
+    assert {r.city for r in unknown.collect()} == {"Atlantis", "Paris", "Rome", "Lima", None}
 
 
 def test_station_payloads(spark):
