@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from table_queries.registry import Registry, table
 from table_queries.relations import COUNTRY_SQL, spelled_country
 from terravane.operators import aggregates
-from terravane.plans import cleaning, flow, marts, quality
+from terravane.plans import audit, cleaning, flow, marts, quality
 from terravane.plans import registry as plan_registry
 from terravane.sources import landing, zones
 from terravane.staging import fresh_path
@@ -514,3 +514,33 @@ def landing_to_mart(spark, sf_dir):
     mart = zones.read_tables(spark, served)[marts.AIR_HAPPINESS_MART]
     return _as_oracle(mart.select(
         "City", "CountryISO", "DateTime", "aqi", "country", "source", "ladder_score"))
+
+
+@registry.query(f"""
+SELECT 'current_air_quality_data' AS dataset, "check", item, n FROM (
+  SELECT 'rows' AS "check", CAST(NULL AS VARCHAR) AS item, count(*) AS n FROM events
+  UNION ALL SELECT 'repeated', NULL, CAST(sum(c - 1) AS BIGINT) FROM (
+      SELECT count(*) AS c FROM events GROUP BY CAST(ts AS DATE),
+          CASE WHEN event_type IN ('click', 'view', 'purchase', 'signup') THEN event_type END)
+  UNION ALL SELECT 'name_unmatched', "City", count(*) FROM ({_STATIONS_SQL}) WHERE "CountryISO" IS NULL
+      GROUP BY 2)
+UNION ALL
+SELECT 'air_quality_index', "check", item, n FROM (
+  SELECT 'rows' AS "check", CAST(NULL AS VARCHAR) AS item, count(*) AS n FROM orders
+  UNION ALL SELECT 'name_unmatched', "Country", count(*) FROM ({_INDEX_SQL}) WHERE "CountryISO" IS NULL
+      GROUP BY 2)
+UNION ALL
+SELECT 'globallandtemperaturesbymajorcity', 'date_unparsed', 'bad',
+       count(*) FROM events WHERE event_type = 'error' HAVING count(*) > 0
+""")
+def flow_audit(spark, sf_dir):
+    """Rows, repeats, unmatched names of the station and index tables, unparsed dates of land."""
+    raw = {"Current_air_quality_data": _raw_stations(spark, sf_dir),
+           "air_quality_index": _raw_index(spark, sf_dir)}
+    counted = audit.flow_audit(raw, {"current_air_quality_data": _clean_stations(spark, sf_dir),
+                                     "air_quality_index": _clean_index(spark, sf_dir)})
+    land = _raw_land(spark, sf_dir)
+    dates = audit.dataset_audit(
+        "GlobalLandTemperaturesByMajorCity", land,
+        cleaning.clean_city_land_temperature(land, ["event_id"]))
+    return counted.unionByName(dates.filter("check = 'date_unparsed'"))

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from table_queries.registry import Registry, table
 from terravane import dimensions
-from terravane.sources import messages, payloads
+from terravane.plans import ingest
+from terravane.sources import landing, messages, payloads
+from terravane.staging import fresh_path
 
 registry = Registry()
 
@@ -44,15 +46,17 @@ def zip_dates_values(spark, sf_dir):
     return days.select("vec_id", "date", F.round(F.col("v").cast("double"), 6).alias("v"))
 
 
-@registry.query("""
+_WEATHER_SQL = """
 SELECT city, CAST(lat AS DOUBLE) AS latitude, CAST(lon AS DOUBLE) AS longitude,
        CAST(DATE '2024-01-01' + CAST(i - 1 AS INTEGER) AS DATE) AS date,
        round(CAST(embedding[i] AS DOUBLE), 5) AS temperature_2m_mean
 FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)
 JOIN (VALUES (0, 'Paris', 48.85, 2.35), (1, 'Lima', -12.04, -77.03), (2, 'Cairo', 30.04, 31.23))
      AS c(k, city, lat, lon) ON label = k
-""")
-def weather_payloads(spark, sf_dir):
+"""
+
+
+def _weather_raw(spark, sf_dir):
     """Each vector as one landed weather payload. Rejected: labels without a known city, and
     one more payload per vector whose last day comes before its first, or is no day at all."""
     city = (F.when(F.col("label") == 0, "Paris").when(F.col("label") == 1, "Lima")
@@ -65,13 +69,48 @@ def weather_payloads(spark, sf_dir):
                              .otherwise(F.lit("soon")))
     vectors = table(spark, sf_dir, "embeddings").select(
         city.alias("city"), daily.alias("daily"), broken.alias("broken"))
-    raw = vectors.select(F.explode(F.array(
+    return vectors.select(F.explode(F.array(
         F.to_json(F.struct("city", "daily")),
         F.to_json(F.struct("city", F.col("broken").alias("daily"))))).alias("value"))
-    days, _ = payloads.daily_weather(raw)
+
+
+@registry.query(_WEATHER_SQL)
+def weather_payloads(spark, sf_dir):
+    days, _ = payloads.daily_weather(_weather_raw(spark, sf_dir))
     return days.withColumn("temperature_2m_mean", F.round("temperature_2m_mean", 5))
 
 
+@registry.query(_WEATHER_SQL)
+def ingest_weather(spark, sf_dir):
+    """Payloads to a landed table; broken ones are rejected and the backup is not needed."""
+    root = fresh_path(spark, "ingest")
+    backup = table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("city"), F.lit("2024-01-01").alias("date"))
+    ingest.land_weather(_weather_raw(spark, sf_dir), root, backup)
+    days = landing.read_zone_table(spark, root, ingest.WEATHER_TABLE)
+    return days.withColumn("temperature_2m_mean", F.round("temperature_2m_mean", 5))
+
+
+@registry.query("""
+SELECT CAST(event_id AS VARCHAR) AS city, DATE '2024-02-01' AS date,
+       CASE WHEN event_type <> 'view' THEN CAST(user_id AS DOUBLE) END AS aqi,
+       value AS pm25, CAST(NULL AS DOUBLE) AS pm10, value / 2 AS no2
+FROM events
+""")
+def ingest_station_backup(spark, sf_dir):
+    """No station answers, so the whole backup lands, with its numbers as text coerced."""
+    root = fresh_path(spark, "ingest")
+    events = table(spark, sf_dir, "events")
+    failed = events.select(F.col("event_id").cast("string").alias("city"),
+                           F.lit('{"status": "error", "data": "no key"}').alias("value"))
+    backup = events.select(
+        F.col("event_id").cast("string").alias("city"), F.lit("2024-02-01").alias("date"),
+        F.when(F.col("event_type") == "view", "-").otherwise(F.col("user_id").cast("string")).alias("aqi"),
+        F.col("value").cast("string").alias("pm25"), (F.col("value") / 2).cast("string").alias("no2"))
+    ingest.land_stations(failed, root, backup)
+    return landing.read_zone_table(spark, root, ingest.STATION_TABLE)
+
+
 @registry.query("""
 SELECT CAST(event_id AS VARCHAR) AS city, DATE '2024-02-01' AS date,
        CASE WHEN event_type = 'view' THEN '-' ELSE CAST(user_id AS VARCHAR) END AS aqi,

@@ -54,7 +54,28 @@ def gazetteer_mentions(spark, sf_dir):
                        lambda i: F.array_join(F.slice(F.col("w"), i, 2), " "))
     gazetteer = words.select(F.explode(runs).alias("place")).distinct()
     df = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return text.place_mentions(df, "text", gazetteer, ["doc_id"], longest=2)
+    return text.place_mentions(df, "text", gazetteer, ["doc_id"])
+
+
+def _runs_sql(n):
+    return f"list_transform(range(1, len(tok) - {n - 2}), lambda i: array_to_string(tok[i:i + {n - 1}], ' '))"
+
+
+@registry.query(rf"""
+SELECT doc_id, city FROM (
+  SELECT doc_id, unnest(list_distinct(list_concat({_runs_sql(1)}, {_runs_sql(4)}, {_runs_sql(7)}))) AS city
+  FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}]+') AS tok FROM documents))
+JOIN (SELECT DISTINCT unnest([tok[-1], CASE WHEN len(tok) > 3 THEN array_to_string(tok[1:4], ' ') END,
+                              CASE WHEN len(tok) > 6 THEN array_to_string(tok[1:7], ' ') END]) AS run
+      FROM (SELECT regexp_extract_all(lower(text), '[\p{{L}}]+') AS tok FROM benchmark)) ON run = city
+""")
+def gazetteer_long_names(spark, sf_dir):
+    """Names of one, four and seven words: the last word and the first words of benchmark texts."""
+    words = table(spark, sf_dir, "benchmark").select(F.split(F.trim(word_text("text")), " ").alias("w"))
+    starts = [F.when(F.size("w") >= n, F.array_join(F.slice("w", 1, n), " ")) for n in (4, 7)]
+    gazetteer = words.select(F.explode(F.array(F.element_at("w", -1), *starts)).alias("place"))
+    df = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return text.place_mentions(df, "text", gazetteer, ["doc_id"])
 
 
 _LABELS = r"""

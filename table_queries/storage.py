@@ -64,6 +64,25 @@ def zone_catalog(spark, sf_dir):
     return zones.zone_shapes(spark, zone)
 
 
+@registry.query("""
+SELECT 'before' AS step, 'part' AS "table", count(*) AS "rows", 6 AS "columns" FROM part
+UNION ALL SELECT 'before', 'supplier', count(*), 4 FROM supplier
+UNION ALL SELECT 'after', 'supplier', count(*), 4 FROM supplier
+""")
+def zone_reset(spark, sf_dir):
+    """A zone that is emptied and filled again holds only what came after."""
+    zone = f"zone_{uuid.uuid4().hex[:12]}"
+    zones.create_zone(spark, zone, fresh_path(spark, zone))
+    zones.save_tables({n: table(spark, sf_dir, n) for n in ("part", "supplier")}, zone)
+    shapes = zones.zone_shapes(spark, zone).withColumn("step", F.lit("before"))
+    before = landing.write_table(shapes, fresh_path(spark, "shapes"), "before")
+    if zones.reset_zone(spark, zone) != ["part", "supplier"]:
+        raise AssertionError("tables were left out of the reset")
+    zones.save_table(table(spark, sf_dir, "supplier"), zone, "supplier")
+    after = zones.zone_shapes(spark, zone).withColumn("step", F.lit("after"))
+    return spark.read.parquet(before).unionByName(after)
+
+
 @registry.query("""
 SELECT c_custkey AS id, c_acctbal AS amount FROM customer
 UNION ALL SELECT user_id, max(value) FROM events

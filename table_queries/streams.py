@@ -91,6 +91,50 @@ def stream_marked_feed(spark, sf_dir):
     return sent.select("author", parts[1].cast("bigint").alias("event_id"), parts[0].alias("text"))
 
 
+@registry.query("""
+SELECT CAST(e.user_id AS VARCHAR) AS author, e.event_id, e.event_type AS text
+FROM events e LEFT JOIN (
+    SELECT poll, user_id, max(max(ts)) OVER (PARTITION BY user_id ORDER BY poll
+               RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark
+    FROM (SELECT *, event_id % 3 AS poll FROM events) GROUP BY poll, user_id) m
+  ON m.poll = e.event_id % 3 AND m.user_id = e.user_id
+WHERE e.ts > coalesce(m.mark, TIMESTAMP '2024-01-10') AND e.event_type IN ('click', 'view')
+""")
+def stream_marked_polls(spark, sf_dir):
+    """Three polls of the feed; each is compared with the marks that the polls before it left."""
+    root = fresh_path(spark, "polls")
+    stamp = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    lines = table(spark, sf_dir, "events").select(
+        (F.col("event_id") % 3).alias("poll"), F.to_json(F.struct(
+            F.col("user_id").cast("string").alias("author"), stamp.alias("created_at"),
+            F.concat_ws("|", "event_type", "event_id").alias("text"))).alias("value"))
+    feed = MarkedFeed(spark, f"{root}/marks", datetime(2024, 1, 10), ["click", "view"])
+    for poll in range(3):
+        lines.filter(F.col("poll") == poll).select("value").write.mode("append").text(f"{root}/topic")
+        arrived = messages.well_formed(posts.decoded_posts(
+            messages.message_stream(spark, f"{root}/topic")))
+        control.drain([feed.start(
+            arrived, send_to_folder(f"{root}/sent"), f"{root}/checkpoint", ALL_NOW)])
+    sent = messages.read_json_lines(spark, f"{root}/sent", messages.POST_SCHEMA)
+    parts = F.split("text", r"\|")
+    return sent.select("author", parts[1].cast("bigint").alias("event_id"), parts[0].alias("text"))
+
+
+@registry.query("""
+SELECT 'count_labels' AS name, false AS running, count(*) AS "rows" FROM events
+""")
+def stream_status(spark, sf_dir):
+    """Status of a query that has read everything there is, as one batch."""
+    root = fresh_path(spark, "status")
+    log = CounterLog(f"{root}/log", key="user_id", label="event_type")
+    query = log.start(_event_stream(spark, sf_dir), f"{root}/checkpoint", ALL_NOW,
+                      counter=F.col("event_type"))
+    control.drain([query])
+    found = control.status([query])
+    return spark.createDataFrame([(s["name"], s["running"], s["rows"]) for s in found],
+                                 "name string, running boolean, rows bigint")
+
+
 @registry.query("""
 SELECT CASE event_type WHEN 'error' THEN 'HEARTBEAT' ELSE 'POST' END AS message_type,
        count(*) AS n

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ORDINAL = "_ordinal"
 
@@ -17,14 +18,15 @@ ORDINAL = "_ordinal"
 def with_row_order(df: DataFrame, order_by: Sequence | None) -> tuple[DataFrame, list]:
     """The frame and the columns that give its row order.
 
-    Without an explicit order or a landed ordinal, rows are numbered as they are
-    scanned, before anything can shuffle them.
+    Without an explicit order or a landed ordinal the values of the rows give it, column by
+    column: the order of a scan changes with the packing of its files.
     """
     if order_by:
         return df, list(order_by)
-    if ORDINAL not in df.columns:
-        df = df.withColumn(ORDINAL, F.monotonically_increasing_id())
-    return df, [ORDINAL]
+    if ORDINAL in df.columns:
+        return df, [ORDINAL]
+    return df, [F.col(f"`{f.name}`") for f in df.schema
+                if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
 
 def keep_first(df: DataFrame, keys: Sequence[Column | str], order_by: Sequence) -> DataFrame:

@@ -79,31 +79,30 @@ def _per_place(df: DataFrame, alias: str) -> DataFrame:
             .filter(F.col(alias).isNotNull()))
 
 
-def _run_from(words: Column, n: int) -> Callable[[Column, Column], Column]:
-    """Lambda joining the word at a place with the next ``n - 1`` words."""
-    return lambda word, i: F.concat_ws(" ", word, *[F.get(words, i + k) for k in range(1, n)])
+def _runs(words: Column, n: Column) -> Column:
+    """Every run of ``n`` words, none if there are fewer words."""
+    starts = F.sequence(F.lit(1), F.size(words) - n + 1)
+    return F.when(F.size(words) >= n, F.transform(
+        starts, lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array())
 
 
 def place_mentions(df: DataFrame, text: str, gazetteer: DataFrame, keep: Sequence[str],
-                   name: str = "place", longest: int | None = None, alias: str = "city") -> DataFrame:
+                   name: str = "place", alias: str = "city") -> DataFrame:
     """The ``keep`` columns and the place, per (post, place), for a gazetteer of any size.
 
-    Each text yields its distinct runs of up to ``longest`` words (by default as many as the
-    longest name has, asked of the gazetteer in one small job), which are joined to it. The runs are made distinct inside the row, so no shuffle is needed
-    to make the result distinct. Keep an identifier rather than the text: the kept
-    columns travel with every run when the gazetteer is too large to broadcast.
+    Each text yields its distinct runs of as many words as names of the gazetteer have, which
+    are joined to it: names of one and of six words cost two runs per word, not six. The
+    numbers of words come from a subquery, so there is no cap on the length of a name. The
+    runs are made distinct inside the row, so no shuffle is needed to make the result
+    distinct. Keep an identifier rather than the text: the kept columns travel with every
+    run when the gazetteer is too large to broadcast. An empty gazetteer or text names nothing.
     """
-    if longest is None:
-        spaces = F.length(F.regexp_replace(F.btrim(word_text(name)), "[^ ]", ""))
-        longest = (gazetteer.agg(F.max(spaces)).first()[0] or 0) + 1
+    dim = (gazetteer.groupBy(F.btrim(word_text(name)).alias("_run")).agg(F.min(name).alias(alias))
+           .filter(F.col("_run") != ""))
+    lengths = dim.agg(F.collect_set(F.size(F.split("_run", " ")))).scalar()
     words = F.col("_words")
-    runs = F.array_distinct(words)
-    for n in range(2, longest + 1):
-        # Near the end of the text concat_ws skips the absent words and so yields a
-        # shorter run, which is a run of its own.
-        runs = F.array_union(runs, F.transform(words, _run_from(words, n)))
-    dim = gazetteer.groupBy(F.btrim(word_text(name)).alias("_run")).agg(F.min(name).alias(alias))
-    split = df.select(*keep, F.array_remove(
+    runs = F.array_distinct(F.flatten(F.transform("_lengths", lambda n: _runs(words, n))))
+    split = df.select(*keep, lengths.alias("_lengths"), F.array_remove(
         F.split(F.lower(text), r"[^\p{L}]+"), "").alias("_words"))
     return (split.select(*keep, F.explode(runs).alias("_run"))
             .join(dim, "_run").select(*keep, alias))

@@ -225,13 +225,12 @@ def clean_natural_disasters(df: DataFrame, end_mode: str = "start",
     start of its period and then lifted to the start date; ``"end"`` completes it to
     the end of the period. Amounts stay double, as float would round them.
     """
-    df = dedup.distinct_rows(parsed_names(df))
+    df = dedup.distinct_rows(names.snake_case_columns(df.drop(dedup.ORDINAL)))
     df = columns.transform_present(df, strings.normalize_text, *DISASTER_TEXT)
-    df = columns.add_missing(df, **{
-        f"{side}_{part}": "string" for side in ("start", "end") for part in ("month", "day")})
     for side, mode in (("start", "start"), ("end", end_mode)):
         if f"{side}_year" in df.columns:
-            parts = [F.col(f"{side}_{part}") for part in ("year", "month", "day")]
+            named = [f"{side}_{part}" for part in ("year", "month", "day")]
+            parts = [F.col(n) if n in df.columns else F.lit(None).cast("string") for n in named]
             df = df.withColumn(f"{side.title()}Date", dates.date_from_parts(*parts, mode=mode))
     df = columns.to_numbers(df, *DISASTER_COUNTS, *cost_columns, "latitude", "longitude")
     df = columns.transform_present(df, lambda c: numbers.null_below(c, 0), *DISASTER_COUNTS)

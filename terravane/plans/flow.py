@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from terravane.operators.dedup import ORDINAL
 from terravane.plans import marts
-from terravane.plans.registry import clean_all
+from terravane.plans.audit import AUDIT_TABLE, flow_audit
+from terravane.plans.registry import clean_all, plan_for
 from terravane.sources import zones
-from terravane.sources.landing import read_zone
+from terravane.sources.landing import read_zone, with_ordinal
+
+# Lower-cased name prefix -> column whose ranges the marts read.
+PARTITIONED = {"historical_weather": "Year", "air_quality_index": "Year"}
 
 
 class IncompleteRun(RuntimeError):
@@ -18,15 +24,30 @@ class IncompleteRun(RuntimeError):
         self.failed, self.built = failed, built
 
 
+def _save(tables: dict[str, DataFrame], zone: str) -> None:
+    """Write tables, those of ``PARTITIONED`` by year: in few files a year, whatever its size."""
+    for name, df in tables.items():
+        year = plan_for(name, PARTITIONED)
+        if year in df.columns:
+            zones.save_table(df.hint("rebalance", F.col(year)), zone, name, partition_by=[year])
+        else:
+            zones.save_table(df, zone, name)
+
+
 def refresh_trusted(spark: SparkSession, landing_root: str, trusted: str,
-                    file_format: str = "parquet") -> dict[str, str]:
+                    file_format: str = "parquet", audit: bool = True) -> dict[str, str]:
     """Clean every landed table into the trusted zone; one job per table.
 
-    Returns the landed tables that could not be read, with the reason.
+    Tables landed without an ordinal get one from their files. ``audit`` also writes the
+    table ``flow_audit``. Returns the landed tables that could not be read, with the reason.
     """
     tables, failed = read_zone(spark, landing_root, file_format)
+    tables = {n: df if ORDINAL in df.columns else with_ordinal(df) for n, df in tables.items()}
     zones.create_zone(spark, trusted)
-    zones.save_tables(clean_all(tables), trusted)
+    _save(clean_all(tables), trusted)
+    if audit:
+        saved = zones.read_tables(spark, trusted)
+        zones.save_table(flow_audit(tables, saved), trusted, AUDIT_TABLE)
     return failed
 
 
@@ -38,8 +59,9 @@ def refresh_exploitation(spark: SparkSession, trusted: str, exploitation: str,
     refreshes them. A mart whose inputs are absent is left out. Returns the marts built.
     """
     tables = zones.read_tables(spark, trusted)
+    tables.pop(AUDIT_TABLE, None)
     zones.create_zone(spark, exploitation)
-    zones.save_tables(tables, exploitation)
+    _save(tables, exploitation)
     recipes = {
         marts.AIR_HAPPINESS_MART: (
             marts.air_quality_happiness, "current_air_quality_data", "world_hapiness_scores"),

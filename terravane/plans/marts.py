@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from terravane.functions.dates import as_timestamp, year_between
 from terravane.operators.dedup import ORDINAL
@@ -29,11 +30,13 @@ def weather_air_index(weather: DataFrame, index: DataFrame, first_year: int = 20
                       hot_share: float | None = None) -> DataFrame:
     """Historical weather with the air quality index of the same country and moment.
 
-    The year range is a timestamp range on both sides, so it reaches the scans.
+    The year range is a timestamp range on both sides, so it reaches the scans, and also a
+    range of ``Year``, which tables partitioned by it are pruned with.
     """
     def in_range(df: DataFrame) -> DataFrame:
         df = df.withColumn("DateTime", as_timestamp("DateTime", df.schema["DateTime"].dataType))
-        return df.filter(year_between("DateTime", first_year, last_year)).drop(ORDINAL)
+        df = df.filter(year_between("DateTime", first_year, last_year)).drop(ORDINAL)
+        return df.filter(F.col("Year").between(first_year, last_year)) if "Year" in df.columns else df
 
     return inner_join(in_range(weather), in_range(index), ["CountryISO", "DateTime"],
                       match_nulls, hot_share=hot_share, null_salts=NULL_SALTS)

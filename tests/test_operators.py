@@ -298,6 +298,21 @@ def test_gazetteer_join_equals_list(spark):
     assert sorted(rows(joined)) == cities_in(spark, *texts)
 
 
+def test_gazetteer_names_of_any_length(spark):
+    names = frame(spark, "place string", ("Bosnia and Herzegovina North",), ("Lima",), ("!",), (None,))
+    df = text_frame(spark, "to bosnia AND Herzegovina, north", "lima lima", "", None, "Herzegovina North")
+    found = text.place_mentions(df.withColumnRenamed("t", "text"), "text", names, ["_i"])
+    assert sorted(rows(found)) == [(0, "Bosnia and Herzegovina North"), (1, "Lima")]
+    assert text.place_mentions(df.withColumnRenamed("t", "text"), "text", names.limit(0), ["_i"]).count() == 0
+
+
+def test_first_row_without_an_order_is_the_smallest(spark):
+    df = frame(spark, "`a.b` int, x int, m map<string,int>", (1, 5, {}), (1, 3, {}), (2, 9, None))
+    for parts in (1, 3):
+        spread, order = dedup.with_row_order(df.repartition(parts), None)
+        assert rows(dedup.keep_first(spread, [F.col("`a.b`")], order).select("x"), "x") == [(3,), (9,)]
+
+
 def test_word_labels(spark):
     df = text_frame(spark, "good, great and BAD", "awful", "nothing", "good bad", columns="text")
     got = df.select("_i", text.word_label("text").alias("l")).select("_i", "l.*")

@@ -1,13 +1,14 @@
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from terravane.operators import ranking
-from terravane.plans import flow
+from terravane.plans import flow, ingest, marts
 from terravane.sources import landing, payloads, zones
 from terravane.sources.landing import EmptyZoneError
 from terravane.sources.messages import as_kafka_values, kafka_options, kafka_sink_options
-from tests.helpers import frame, rows, text_frame
+from tests.helpers import frame, plan, rows, text_frame
 
 
 @pytest.fixture
@@ -129,6 +130,23 @@ def test_station_payloads(spark):
     assert rows(got.drop("date"), "city") == [("A", "42", 10.5, None, 3.0), ("B", "-", None, None, None)]
 
 
+def test_ingestion_takes_payloads_or_the_whole_backup(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    good = '{"status": "ok", "data": {"aqi": "-", "iaqi": {"no2": {"v": 3.0}}}}'
+    raw = text_frame(spark, ("A", good), ("B", '{"status": "error", "data": "x"}'), ("C", None),
+                     columns="city value").drop("_i")
+    backup = text_frame(spark, ("Z", "2025-01-02", "7", "n/a", "extra"),
+                        columns="city date aqi pm25 other")
+    rejected = ingest.land_stations(raw, root, backup)
+    assert sorted(r.city for r in rejected.collect()) == ["B", "C"]
+    landed = landing.read_zone_table(spark, root, ingest.STATION_TABLE)
+    assert rows(landed.drop("date")) == [("A", None, None, None, 3.0)]
+    ingest.land_stations(raw.filter("city <> 'A'"), root, backup)
+    landed = landing.read_zone_table(spark, root, ingest.STATION_TABLE)
+    assert rows(landed.withColumn("date", F.col("date").cast("string"))) == [
+        ("Z", "2025-01-02", 7.0, None, None, None)]
+
+
 def test_kafka_is_a_parameter(spark):
     assert kafka_options("posts", "broker:9092", "g")["startingOffsets"] == "latest"
     assert kafka_sink_options("posts", "broker:9092")["kafka.acks"] == "all"
@@ -158,6 +176,15 @@ def test_whole_flow(spark, tmp_path):
         ("Paris", 5.0, "France", 7.0)]
     assert rows(tables[built[1]].select("City", "aqi")) == [("Paris", 50.0)]
     assert all("_ordinal" not in df.columns for df in tables.values())
+    audit = {(r.dataset, r.check, r.item): r.n for r in spark.table(f"{trusted}.flow_audit").collect()}
+    assert audit["current_air_quality_data", "repeated", None] == 1
+    assert audit["world_hapiness_scores", "rows", None] == 3
+    assert audit["other", "rows", None] == 1
+    assert {k[0] for k in audit} == {n.lower() for n in files}
+    for name in ("historical_weather", "air_quality_index"):
+        assert [c.name for c in spark.catalog.listColumns(f"{served}.{name}") if c.isPartition] == ["Year"]
+    mart = marts.weather_air_index(tables["historical_weather"], tables["air_quality_index"])
+    assert plan(mart).count("PartitionFilters: [isnotnull(Year") == 2
 
     # A second run leaves the marts alone unless asked to refresh them.
     landing.land_csv(spark, csv(tmp_path / "n.csv", "Date,Country,AQI Value\n2024-01-01,France,60\n"),
