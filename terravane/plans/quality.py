@@ -50,7 +50,7 @@ def land_temperature_rules(df: DataFrame) -> dict[str, Column]:
     at = {"latitude": numbers.latitude("Latitude"), "longitude": numbers.longitude("Longitude")}
     bounds = {"latitude": fixed.LATITUDE_RANGE, "longitude": fixed.LONGITUDE_RANGE}
     return {
-        "date_unparsed": _unparsed_date(df, "dt", dates.DATE_FORMAT),
+        "date_unparsed": _unparsed_date(df, "dt", dates.DATE_TIME_FORMAT),
         **{f"{n}_unparsed": c.isNull() for n, c in at.items()},
         **{f"{n}_outside_range": _beyond(c, bounds[n]) for n, c in at.items()},
         "temperature_outside_range": _outside(

@@ -54,11 +54,14 @@ def enrich(lines: DataFrame, path: str, checkpoint: str,
 
 def count_labels(spark: SparkSession, enriched_path: str, log: CounterLog, checkpoint: str,
                  trigger: dict | None = None) -> StreamingQuery:
-    """Running counters per city over the enriched files, so no text is labelled twice."""
+    """Running counters per city over the enriched files, so no text is labelled twice.
+
+    Every enriched line has a city; one without is broken and not counted.
+    """
     folder = spark._jvm.org.apache.hadoop.fs.Path(enriched_path)  # may not have a batch yet
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
     stream = spark.readStream.schema(messages.ENRICHED_SCHEMA).json(enriched_path)
-    return log.start(stream, checkpoint, trigger)
+    return log.start(stream.filter(F.col(log.key).isNotNull()), checkpoint, trigger)
 
 
 def land_forum(lines: DataFrame, path: str, checkpoint: str,

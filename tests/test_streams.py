@@ -208,6 +208,16 @@ def test_drifted_enriched_lines(spark, tmp_path):
     assert [r.assessment for r in latest_posts(df).collect()] == ["bad", "good for city"]
 
 
+def test_broken_enriched_lines_are_not_counted(spark, tmp_path):
+    (tmp_path / "enriched").mkdir()
+    (tmp_path / "enriched" / "e.json").write_text(
+        '{"city": "Lima", "assessment": "bad", "score": 0.6}\n{broken\n{"assessment": "bad"}\n')
+    log = CounterLog(str(tmp_path / "log"))
+    control.drain([posts.count_labels(
+        spark, str(tmp_path / "enriched"), log, str(tmp_path / "cp"), NOW)], 120)
+    assert rows(log.current(spark)) == [("Lima", 0, 1, 0)]
+
+
 def test_stream_equals_batch_enrichment(spark, topic, tmp_path):
     lines = [post("a", "t", words) for words in ("lima lima", "oslo, cairo", "none", "Rome bad")]
     topic.send(*lines)
