@@ -6,7 +6,7 @@ file source reads the same JSON lines from a folder.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -44,16 +44,37 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType,
                     ordinal: bool = False) -> DataFrame:
     """JSON Lines as a batch; blank lines are skipped, broken ones give NULLs.
 
-    ``ordinal`` adds the landed order: by the time a file was written, then its lines.
+    ``ordinal`` adds the landed order: by the time a file was written, then its lines. The
+    parts of one write share the time of the first one done and follow by part number, as
+    parallel tasks end in any order.
     """
     scan = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
     if not ordinal:
         return scan
-    return scan.withColumn(ORDINAL, F.struct(
+    placed = scan.withColumn(ORDINAL, F.struct(
         F.col("_metadata.file_modification_time").alias("written"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row")))
+    order = F.col(ORDINAL)
+    first = F.broadcast(_first_written(spark, path))  # one row per file
+    return placed.join(first, order["file"] == F.col("_file"), "left").withColumn(
+        ORDINAL, order.withField("written", F.coalesce("_first", order["written"]))
+    ).drop("_file", "_first")
+
+
+def _first_written(spark: SparkSession, path: str) -> DataFrame:
+    """(_file, _first): when the first file of the write that a file is of was done.
+
+    Spark puts one id of a write into the names of its parts; other files stand for themselves.
+    No content is read.
+    """
+    files = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_modification_time").alias("_written"))
+    write = F.regexp_extract("_file", r"/part-\d+-([0-9a-f-]{36})[^/]*$", 1)
+    same = Window.partitionBy(F.when(write == "", F.col("_file")).otherwise(write))
+    return files.select("_file", F.min("_written").over(same).alias("_first"))
 
 
 def kafka_options(topic: str, servers: str, group: str | None = None,

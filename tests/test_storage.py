@@ -1,15 +1,19 @@
+import os
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
+from table_queries import storage
 from terravane.operators import ranking
 from terravane.plans import flow, ingest, marts
-from terravane.sources import landing, payloads, zones
+from terravane.sources import landing, messages, payloads, zones
 from terravane.sources.landing import EmptyZoneError
 from terravane.sources.messages import as_kafka_values, kafka_options, kafka_sink_options
 from tests.helpers import frame, plan, rows, text_frame
 
+SF = "/root/testdata/sf0.01"
+
 
 @pytest.fixture
 def zone(spark, tmp_path):
@@ -193,3 +197,35 @@ def test_whole_flow(spark, tmp_path):
     assert rows(spark.table(f"{served}.{built[1]}").select("aqi")) == [(50.0,)]
     flow.run_all(spark, root, trusted, served, mart_mode="overwrite")
     assert rows(spark.table(f"{served}.{built[1]}").select("aqi")) == [(60.0,)]
+
+
+def test_tail_of_parallel_parts(spark, tmp_path):
+    """Parts of one write follow by number, whichever task ended first."""
+    path = str(tmp_path / "posts")
+    for low, high in ((0, 10), (10, 400)):
+        spark.range(low, high).selectExpr("cast(id as string) text").repartitionByRange(
+            4, F.col("text").cast("int")).sortWithinPartitions(F.col("text").cast("int")).write.mode(
+            "append").json(path)
+    parts = sorted((tmp_path / "posts").glob("part-*.json"), key=lambda f: f.stat().st_mtime_ns)
+    late = {f.name[11:47] for f in parts[-1:]}
+    last = sorted(f for f in parts if f.name[11:47] in late)
+    for age, file in enumerate(last):  # the last part was done first
+        then = parts[-1].stat().st_mtime + 60 - age
+        os.utime(file, (then, then))
+    lines = messages.read_json_lines(spark, path, messages.POST_SCHEMA, ordinal=True)
+    got = [int(r[0]) for r in rows(ranking.tail(lines, 400).select("text"))]
+    assert got == list(range(399, -1, -1))
+
+
+def test_stream_file_tail_lands_every_document(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "tail")
+    monkeypatch.setattr(storage, "fresh_path", lambda *_: path)
+    storage.registry.queries["stream_file_tail"](spark, SF)
+    landed = spark.read.schema("text string").json(path)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert landed.count() == docs.count()
+    assert landed.exceptAll(docs.select("text")).isEmpty()
+    sizes = {}
+    for f in (tmp_path / "tail").glob("part-*.json"):
+        sizes[f.name[11:47]] = sizes.get(f.name[11:47], 0) + f.stat().st_size
+    assert len(sizes) == 2 and 5 * min(sizes.values()) < max(sizes.values())
