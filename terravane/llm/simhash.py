@@ -335,6 +335,11 @@ def one_of_each(docs: DataFrame, *, shingle: int = SHINGLE_WORDS, errors: int =
     doc_id only if the whole group has none); of equal rows, one.
     """
     _, member = _members(docs.select("doc_id", "text"), shingle, errors)
+    return rows_of_least(docs, member)
+
+
+def rows_of_least(docs: DataFrame, member: DataFrame) -> DataFrame:
+    """The row of docs that is the least of each root in member (root, least)."""
     kept = member.groupBy("root").agg(F.min("least").alias("k")).select(
         F.col("k.doc_id").alias("_id"), F.col("k.tie").alias("_tie"))
     own = docs.withColumn("_d", F.col("doc_id").cast("long")).withColumn("_t", F.xxhash64("text"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
+import corpus_pipeline
 from tests.oracle import compare, connect
 from terravane.llm import (
     chat,
@@ -22,6 +23,7 @@ from terravane.llm import (
     line_dedup,
     lm_score,
     mixing,
+    near_copies,
     queries,
     quality,
     simhash,
@@ -105,6 +107,37 @@ def test_simhash(spark, odd, none):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == sorted(g or 0 for g in groups)
 
 
+def test_pipeline_stage_drops_near_copies(spark):
+    """Copies at 0.8 and more go whatever their fingerprints, texts below stay."""
+    def shingles(text):
+        words = text.split()
+        return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+
+    rng = np.random.default_rng(5)
+    data, copies = [], {}
+    for base in range(0, 4000, 100):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 200)]
+        data.append((base, " ".join(words)))
+        for i, changed in enumerate((1, 2, 3, 4, 8, 12), start=1):  # five shingles each
+            other = list(words)
+            for at in np.linspace(7, 190, changed).astype(int):
+                other[at] = f"x{rng.integers(10**9)}"
+            a, b = shingles(data[-1 if i == 1 else -i][1]), shingles(" ".join(other))
+            copies[base + i] = len(a & b) / len(a | b)
+            data.append((base + i, " ".join(other)))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert any(0.8 <= s < 0.85 for s in copies.values())
+    assert kept == {b for b in range(0, 4000, 100)} | {i for i, s in copies.items() if s < 0.8}
+
+
+def test_near_copies_of_odd_rows(spark, odd, none):
+    kept = near_copies.one_of_each(odd)
+    assert kept.columns == odd.columns
+    assert 0 < kept.count() <= odd.count()
+    assert near_copies.one_of_each(none).count() == 0
+
+
 def test_trie_join_finds_every_pair():
     random = np.random.default_rng(3)
     base = random.integers(0, 2**64, 80, dtype=np.uint64)
