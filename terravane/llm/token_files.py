@@ -115,14 +115,15 @@ class ChunkTokenizer:
 
     Texts are cut at `cut_points`; unknown chunks are strung together, encoded by the library
     and split again by the byte length of each token. Two 64-bit hashes name a chunk; if they
-    disagree, or lengths do not add up, the text is encoded directly.
+    disagree, or lengths do not add up, the text is encoded directly, and so is a text that
+    holds the string of an added token, which the library turns into one id.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are plain text
+        self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.token_bytes = np.zeros(size, np.int64)
         for token, i in self.library.get_vocab(with_added_tokens=True).items():
@@ -172,8 +173,37 @@ class ChunkTokenizer:
         self.ids = ids[_ranges(starts[order], lengths[order])]
         self.at = np.concatenate([[0], np.cumsum(lengths[order])])
 
+    def _with_added(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Which rows hold the string of an added token."""
+        out = np.zeros(len(offs) - 1, bool)
+        raw = data.tobytes()
+        for token in filter(None, self.added):
+            at = raw.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(offs, at, "right")) - 1
+                inside = at + len(token) <= offs[row + 1]  # else it crosses into the next row
+                out[row] |= inside
+                at = raw.find(token, int(offs[row + 1]) if inside else at + 1)
+        return out
+
     def __call__(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all rows, number of ids of each row)."""
+        """(ids of all rows, number of ids of each row), as the library encodes whole texts."""
+        added = self._with_added(data, offs)
+        if not added.any():
+            return self._by_chunks(data, offs)
+        sizes = np.diff(offs)
+        ids, counts = self._by_chunks(data[np.repeat(~added, sizes)],
+                                      np.concatenate([[0], np.cumsum(sizes[~added])]))
+        parts: list = [None] * len(added)
+        plain = np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else []
+        direct = self._encode_all([data[offs[row]:offs[row + 1]].tobytes().decode()
+                                   for row in np.flatnonzero(added)])
+        for rows, values in ((np.flatnonzero(~added), plain), (np.flatnonzero(added), direct)):
+            for row, value in zip(rows, values, strict=True):
+                parts[row] = value
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+
+    def _by_chunks(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         start = cut_points(data, offs)
         end = np.append(start[1:], len(data))
         keys, checks = self.name(data, start, end), self.proof(data, start, end)

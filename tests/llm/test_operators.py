@@ -27,6 +27,7 @@ from terravane.llm import (
     queries,
     quality,
     simhash,
+    textbytes,
     token_files,
     toxicity,
 )
@@ -187,6 +188,19 @@ def test_token_files(spark, odd, none, tmp_path):
     assert token_files.read_token_files(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_added_tokens_are_one_id():
+    """As the plain library call gives them, wherever their string stands."""
+    path = public_tokenizers.path(queries.TOKENIZER)
+    library = Tokenizer.from_file(path)
+    plain = ["before it", "", "a <|endoftext", "|> b", "last one"]
+    special = ["<|endoftext|>", "a<|endoftext|>b <|endoftext|><|endoftext|>\n c", "x  <|endoftext|> |> y"]
+    for texts in (plain, special, [*plain, *special, *plain], [special[0], *plain, special[1]]):
+        ids, counts = token_files.ChunkTokenizer(path)(*textbytes.texts(pa.array(texts)))
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [list(p) for p in np.split(ids, np.cumsum(counts)[:-1])] == want
+    assert library.token_to_id("<|endoftext|>") in ids
+
+
 def test_coding_round_trip():
     random = np.random.default_rng(1)
     for ids in (np.zeros(0, np.uint32), np.array([7], np.uint32), random.integers(0, 90_000, 200_001).astype(np.uint32)):
