@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from terravane import staging
 from terravane.llm import (
+    centroids,
     chat,
+    collocations,
     decontaminate,
     fingerprint_sketch,
     line_dedup,
     lm_score,
     mixing,
     quality,
+    sharding,
     simhash,
     token_files,
     toxicity,
@@ -83,6 +86,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("text"), 256).alias("text_sha256"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = sharding.even_tree(sharding.SHARDS)
+    placed = sharding.slots(table(spark, sf_dir, "documents"), tree, tree.grown(sharding.SHARDS))
+    return placed.withColumn("law", F.lit("key"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,6 +109,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_lm_score, op2_toxicity, op3_quality, op4_decontamination, op5_mixing, op6_simhash,
-        op7_chat, op8_token_ids, op9_fingerprints, op10_line_dedup, pipeline)
+        op7_chat, op8_token_ids, op9_fingerprints, op10_line_dedup, op11_centroids, op12_sharding,
+        op13_collocations, pipeline)
 }
 __all__ = ["ORACLE", "QUERIES"]

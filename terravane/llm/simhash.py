@@ -342,6 +342,8 @@ def rows_of_least(docs: DataFrame, member: DataFrame) -> DataFrame:
     """The row of docs that is the least of each root in member (root, least)."""
     kept = member.groupBy("root").agg(F.min("least").alias("k")).select(
         F.col("k.doc_id").alias("_id"), F.col("k.tie").alias("_tie"))
-    own = docs.withColumn("_d", F.col("doc_id").cast("long")).withColumn("_t", F.xxhash64("text"))
+    # the row is one column here, so that no name of docs can clash
+    own = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("_d"),
+                      F.xxhash64("text").alias("_t"))
     return own.join(kept, F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_tie")),
-                    "left_semi").dropDuplicates(["_d", "_t"]).select(*docs.columns)
+                    "left_semi").dropDuplicates(["_d", "_t"]).select("row.*")

@@ -110,9 +110,78 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE len(l) END::BIGINT AS n_li
 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+def _assigned(n: int) -> str:
+    """Every vector with its nearest centroid of c{n}."""
+    return f"""
+a{n} AS (
+  SELECT row, min({{'d': norm - 2 * list_inner_product(x, c)::BIGINT + list_inner_product(c, c)::BIGINT, 'c': k}}) AS m
+  FROM kept CROSS JOIN c{n} GROUP BY row)"""
+
+
+def _moved(n: int) -> str:
+    """Centroids c{n + 1} after the assignment a{n}."""
+    return f"""
+s{n} AS (
+  SELECT k, i, sum(x)::BIGINT AS s, count(*) AS n
+  FROM (SELECT a.m.c AS k, unnest(x)::BIGINT AS x, unnest(range(64)) AS i FROM a{n} a JOIN kept USING (row))
+  GROUP BY k, i),
+f{n} AS (SELECT k, list(((s - ((s % n + n) % n)) // n)::DOUBLE ORDER BY i) AS c FROM s{n} GROUP BY k),
+c{n + 1} AS (SELECT k, coalesce(f.c, c{n}.c) AS c FROM c{n} LEFT JOIN f{n} f USING (k))"""
+
+
+OP11 = f"""
+WITH kept AS (
+  SELECT *, list_inner_product(x, x)::BIGINT AS norm FROM (
+    SELECT row_number() OVER () AS row, vec_id, [floor(64 * e::DOUBLE) FOR e IN embedding] AS x
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0)),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS k, x AS c
+  FROM (SELECT sha256('1:' || vec_id) AS h, x FROM kept ORDER BY h, x LIMIT 16)),
+{_assigned(0)}, {_moved(0)}, {_assigned(1)}, {_moved(1)}, {_assigned(2)}, {_moved(2)}, {_assigned(3)},
+done AS (SELECT vec_id, m.c::INTEGER AS cluster, m.d::BIGINT AS distance FROM a3 JOIN kept USING (row))
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string([e::BIGINT::VARCHAR FOR e IN c], ',')) AS centroid_sha256
+FROM done JOIN c3 ON c3.k = done.cluster
+"""
+
+OP13 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM w, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size)),
+f AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, count(*) AS n FROM grams
+      GROUP BY lang, size, phrase HAVING count(*) >= 30),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(n) AS more
+  FROM (SELECT lang, w, n, m, unnest(range(1, size - m + 2)) AS i
+        FROM f, (SELECT unnest([2, 3]) AS m) WHERE m < size) GROUP BY ALL),
+cuts AS (
+  SELECT f.lang, f.phrase, f.n AS a, f.size, f.w, unnest(range(1, f.size)) AS k
+  FROM f LEFT JOIN inside USING (lang, phrase) WHERE f.size > 1 AND (more IS NULL OR 100 * more < 80 * f.n)),
+scored AS (
+  SELECT c.lang, c.phrase, a, k, l.n AS l, r.n AS r, ((2000000::HUGEINT * a) // (l.n + r.n))::BIGINT AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS first FROM scored),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+  WHERE first = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op1_lm_score": OP1,
     "op4_decontamination": OP4,
     "op5_mixing": OP5,
     "op10_line_dedup": OP10,
+    "op11_centroids": OP11,
+    "op13_collocations": OP13,
 }
