@@ -62,13 +62,19 @@ LAYOUTS: dict[str, Single | Listed] = {
 
 
 def field_paths(value, path: str = "") -> set[str]:
-    """Paths of all leaves; list items share the path of the list plus ``[]``."""
+    """Paths of all leaves; list items share the path of the list plus ``[]``.
+
+    Dots inside a name are escaped, and a leaf that stands in a list itself has the path of the
+    list plus ``[]=``, so that neither is taken for another layout.
+    """
     if isinstance(value, dict):
-        found = set().union(*(field_paths(v, f"{path}.{k}" if path else k) for k, v in value.items()))
-        return found or {path}
+        names = {k: k.replace("\\", "\\\\").replace(".", "\\.") for k in value}
+        found = set().union(*(field_paths(v, f"{path}.{names[k]}" if path else names[k])
+                              for k, v in value.items()))
+        return found or {path + "{}"}
     if isinstance(value, list):
-        return set().union({path + "[]"} if not value else set(),
-                           *(field_paths(v, path + "[]") for v in value))
+        return set().union({path + "[]"} if not value else set(), *(
+            field_paths(v, path + "[]") if isinstance(v, (dict, list)) else {path + "[]="} for v in value))
     return {path}
 
 
@@ -185,8 +191,8 @@ FORMATTED = ("key long, layout string, formatted string, "
 def format_records(records: DataFrame, *, layouts: dict[str, Single | Listed] = LAYOUTS) -> DataFrame:
     """(key, layout, formatted, loss_spans, reject) of each record (key, record: JSON text).
 
-    One row per row. A record that is null, no JSON object, or of no known layout has a null
-    text and the reason in `reject`. Null fields are empty texts. An empty list of turns gives
+    One row per row. A record that is null, no JSON object, of no known layout, or with half of a
+    surrogate pair in it has a null text and the reason in `reject`. Null fields are empty texts. An empty list of turns gives
     an empty text. Other columns are not read.
     """
     known = registry(layouts)
@@ -200,13 +206,21 @@ def format_records(records: DataFrame, *, layouts: dict[str, Single | Listed] =
             record = json.loads(raw) if raw is not None else None
         except ValueError:
             return key, None, None, None, "no JSON"
+        except RecursionError:
+            return key, None, None, None, "nested too deeply"
         if not isinstance(record, dict):
             return key, None, None, None, "no object"
-        code = fingerprint(field_paths(record))
-        name = known.get(code)
-        if name is None:
-            return key, None, None, None, f"unknown layout {code}"
-        text, spans = render(canonical_turns(record, layouts[name]))
+        try:
+            code = fingerprint(field_paths(record))
+            name = known.get(code)
+            if name is None:
+                return key, None, None, None, f"unknown layout {code}"
+            text, spans = render(canonical_turns(record, layouts[name]))
+            text.encode()
+        except UnicodeEncodeError:
+            return key, None, None, None, "no Unicode text"
+        except RecursionError:
+            return key, None, None, None, "nested too deeply"
         return key, name, text, [{"begin": a, "end": b} for a, b in spans], None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,9 +249,10 @@ def conversation_records(turns: DataFrame) -> DataFrame:
         x["role"].alias("role"), x["text"].alias("text"))))
     roles = F.array_join(F.transform("t", lambda x: x["role"]), "\n")
     texts = [F.get("t", i)["text"] for i in range(3)]
-    as_json = F.when(roles == "user\nassistant", F.to_json(F.struct(
+    turns_are = F.size("t")  # a role may hold a line end
+    as_json = F.when((turns_are == 2) & (roles == "user\nassistant"), F.to_json(F.struct(
         texts[0].alias("prompt"), texts[1].alias("completion"))))
-    as_json = as_json.when(roles == "system\nuser\nassistant", F.to_json(F.struct(
+    as_json = as_json.when((turns_are == 3) & (roles == "system\nuser\nassistant"), F.to_json(F.struct(
         texts[0].alias("system"), texts[1].alias("prompt"), texts[2].alias("response"))))
     as_json = as_json.when(F.coalesce(F.col("key") % 2, F.lit(0)) == 0, F.to_json(F.struct(
         F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content"))

@@ -10,9 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terravane.llm.names import unused
+
 WINDOW = 10
 #: Largest benchmark, in bytes of window text, that is broadcast; beyond, both sides shuffle.
 BROADCAST_BYTES = 32 << 20
+#: Equal rows that one task multiplies at most.
+_RUN = 1 << 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What separates words once A-Z is lower-cased: all ASCII but digits and letters.
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -73,11 +77,11 @@ def window_probes(docs: DataFrame, lengths: list[int]) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW,
                   broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """(doc_id, text_hash, n_words, spans, items): one row per different (doc_id, text).
+    """(doc_id, text_hash, copies, n_words, spans, items): one row per different (doc_id, text).
 
     spans: (at, length) of every occurrence of a window, in words counted from 0, sorted.
     items: the items with a window in the text, sorted as strings. A null or wordless text
-    has no words and no spans. Documents may repeat; equal rows are reported once. Null
+    has no words and no spans. copies: how many rows are equal in both. Null
     item_ids are not listed, though their windows hit. Columns other than doc_id, text and
     item_id, text are not read.
     """
@@ -106,6 +110,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     side = F.broadcast(side) if small else side.hint("merge")
     hits = probes.join(side, same, "left").where("gram is not null or at < 0")
     return hits.groupBy("doc_id", "text_hash").agg(
+        F.count(F.when(F.col("at") < 0, 1)).alias("copies"),  # one such probe per row
         F.max(F.when(F.col("at") < 0, F.size("w"))).cast("long").alias("n_words"),
         F.array_sort(F.collect_set(F.when(F.col("at") >= 0, F.struct("at", "length")))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
@@ -127,8 +132,15 @@ def merged_spans(spans: Column) -> Column:
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """(doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated)."""
+    """(doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated): one row per row.
+
+    Equal rows are searched as one and multiplied at the end, many of them by several tasks.
+    """
     found = contamination(docs, benchmark, **options)
+    runs = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(_RUN))
+    found = found.withColumn("from", F.explode(runs)).repartition("doc_id", "text_hash", "from")
+    found = found.withColumn("copy", F.explode(F.sequence(F.col("from"), F.least(
+        F.col("from") + _RUN, F.col("copies")) - 1)))
     covered = F.array_size(F.array_distinct(F.flatten(F.transform(
         "spans", lambda s: F.sequence(s["at"], s["at"] + s["length"] - 1)))))
     n_hit = F.when(F.size("spans") > 0, covered).otherwise(F.lit(0)).cast("long")
@@ -149,19 +161,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, action: str = "spans
     """
     if action not in ("spans", "documents"):
         raise ValueError(action)
+    id_, hash_, spans = unused(docs, "id", "hash", "spans")
     found = contamination(docs, benchmark, **options).where(F.size("spans") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans")
-    key = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+        F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("spans").alias(spans))
+    key = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_))
     if action == "documents":
         return docs.join(found, key, "left_anti")
     joined = docs.join(found, key, "left")
     cut = joined.withColumn("text", F.when(
-        F.col("spans").isNotNull(), without_spans(F.col("text"), merged_spans(F.col("spans")))
+        F.col(spans).isNotNull(), without_spans(F.col("text"), merged_spans(F.col(spans)))
     ).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("spans").isNotNull(), F.length("text").cast(
+        cut = cut.withColumn("n_chars", F.when(F.col(spans).isNotNull(), F.length("text").cast(
             docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+    return cut.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def without_spans(text: Column, spans: Column) -> Column:

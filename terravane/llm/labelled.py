@@ -27,7 +27,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str,
     documents under a hash bound that leaves a few more than that are sorted.
     weight: labelled documents of the class for each one taken, so that the sample stands for
     all labelled ones. Null labels are no labels. A doc_id labelled several times counts once
-    per different label.
+    per different label. Of several documents with a labelled doc_id one is taken, by the hash
+    of the text, so the bound holds whatever repeats.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(
         ~held_out(F.col("doc_id"))).select("doc_id", (F.col(label) > 0).cast("int").alias("y")).distinct()
@@ -41,8 +42,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str,
     if chosen is None:
         chosen = known.withColumn("weight", F.lit(1.0))
     chosen = chosen.withColumnRenamed("doc_id", "_d")  # at most `rows` rows
-    return docs.select("doc_id", "text").join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("_d")).select("text", "y", "weight")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_d"))
+    one = found.groupBy("_d", "y", "weight").agg(
+        F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("t"))
+    return one.select("t.text", "y", "weight")
 
 
 def hash_bound(wanted: int, of: int) -> int:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terravane import staging
+from terravane.llm.names import unused
 
 WINDOW = 3
 
@@ -46,23 +47,24 @@ def deduplicate_lines(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
     are equal in doc_id and text are one document that comes twice: both stay, alike. All other
     columns are kept; existing columns named n_lines or n_removed are replaced.
     """
+    id_, hash_, at, gone_ = unused(docs, "id", "hash", "at", "gone")
     covered = repeated_windows(docs.select("doc_id", "text"), window).groupBy(
-        F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).agg(
-        F.collect_set("at").alias("_at"))  # positions of one text
+        F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).agg(
+        F.collect_set("at").alias(at))  # positions of one text
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    joined = docs.select(*kept).join(
-        covered, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_h")), "left")
+    joined = docs.select(*(F.col(f"`{c}`") for c in kept)).join(
+        covered, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_)), "left")
     lines = F.split("text", "\n")
     gone = F.array_distinct(F.flatten(F.transform(
-        "_at", lambda p: F.sequence(p, p + (window - 1)))))
-    joined = joined.withColumn("_gone", gone)
-    has = F.col("_gone").isNotNull()
+        at, lambda p: F.sequence(p, p + (window - 1)))))
+    joined = joined.withColumn(gone_, gone)
+    has = F.col(gone_).isNotNull()
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
     return joined.select(
-        *(F.when(has, _without(lines, F.col("_gone"))).otherwise(F.col("text")).alias("text")
-          if c == "text" else F.col(c) for c in kept),
+        *(F.when(has, _without(lines, F.col(gone_))).otherwise(F.col("text")).alias("text")
+          if c == "text" else F.col(f"`{c}`") for c in kept),
         n_lines.alias("n_lines"),
-        F.when(has, F.size("_gone")).otherwise(0).cast("long").alias("n_removed"))
+        F.when(has, F.size(gone_)).otherwise(0).cast("long").alias("n_removed"))
 
 
 def _without(lines: Column, gone: Column) -> Column:

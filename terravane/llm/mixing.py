@@ -213,17 +213,21 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     taken = _taken(docs.select("doc_id", "text", "source"), **options).groupBy(
         F.col("doc_id").alias("_d"), F.col("tie").alias("_t"), F.col("source").alias("_s"), "size").agg(
         F.sum("taken").alias("taken")).where("taken > 0")
-    own = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_tie", F.xxhash64("text"))
-    own = own.dropDuplicates(["_id", "_tie", "source"])
-    joined = own.join(taken, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_tie") == F.col("_t"))
-                      & F.col("source").eqNullSafe(F.col("_s")))
+    # the row is one column here, so that no name of docs can clash
+    own = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"),
+                      F.xxhash64("text").alias("hash"), F.col("source").alias("of"))
+    own = own.dropDuplicates(["id", "hash", "of"])
+    joined = own.join(taken, F.col("id").eqNullSafe(F.col("_d")) & (F.col("hash") == F.col("_t"))
+                      & F.col("of").eqNullSafe(F.col("_s")))
+    text = F.col("row.text")
     rounds = F.floor(F.col("taken") / F.col("size")).cast("int")
     rest = (F.col("taken") % F.col("size")).cast("int")
-    words = F.slice(F.regexp_extract_all("text", F.lit(f"({_WORD})"), 1), 1, rest)
-    parts = F.concat(F.array_repeat(F.col("text"), rounds),
+    words = F.slice(F.regexp_extract_all(text, F.lit(f"({_WORD})"), 1), 1, rest)
+    parts = F.concat(F.array_repeat(text, rounds),
                      F.when(rest > 0, F.array(F.array_join(words, " "))).otherwise(
                          F.array().cast("array<string>")))
-    mixed = joined.withColumn("text", F.array_join(parts, "\n"))
+    mixed = joined.select(F.col("row").withField("text", F.array_join(parts, "\n")).alias("row"))
     if "n_chars" in docs.columns:
-        mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return mixed.select(*docs.columns)
+        mixed = mixed.select(F.col("row").withField(
+            "n_chars", F.length("row.text").cast(docs.schema["n_chars"].dataType)).alias("row"))
+    return mixed.select("row.*")

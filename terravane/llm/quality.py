@@ -14,8 +14,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terravane.llm.labelled import TRAIN_ROWS, fit_in_one_task, held_out, training_sample
+from terravane.llm.names import by_place
 from terravane.llm.textbytes import RunHash, Words, byte_class, lower_ascii, row_sums, slices, texts
 
 THRESHOLD = 0.5
@@ -199,18 +201,20 @@ def score(docs: DataFrame, model: Trees, *, keep: list[str] = ("doc_id",)) -> Da
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # under 100 kB, fixed
     names = [c for c in keep if c != "score"]
+    picked = by_place(docs, names)
+    source = f"c{names.index('text')}" if "text" in names else "text"
+    columns = [c for c in picked.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "_text"):
-                x = statistics(*texts(rows.column("_text")))
-                yield pa.record_batch([rows.column(n) for n in names] + [
-                    pa.array(shared.value.scores(x))], names=[*names, "score"])
-
-    picked = docs.select(*(F.col(n) for n in names), F.col("text").alias("_text"))
-    schema = ", ".join([*(f"`{n}` {picked.schema[n].dataType.simpleString()}" for n in names),
-                        "score double"])
-    return picked.mapInArrow(run, schema)
+            for rows in slices(batch, source):
+                x = statistics(*texts(rows.column(source)))
+                yield pa.record_batch([rows.column(n) for n in columns] + [
+                    pa.array(shared.value.scores(x))], names=[*columns, "score"])
+
+    return picked.mapInArrow(run, T.StructType(
+        [T.StructField(n, picked.schema[n].dataType) for n in columns]
+        + [T.StructField("score", T.DoubleType())])).toDF(*names, "score")
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD,

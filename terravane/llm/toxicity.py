@@ -9,15 +9,17 @@ the sentence scores through that formula; afterwards the scores point at the off
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terravane.llm.labelled import TRAIN_ROWS, fit_in_one_task, held_out, training_sample
+from terravane.llm.names import by_place, unused
 from terravane.llm.textbytes import RunHash, Words, byte_class, lower_ascii, slices, texts
 
 THRESHOLD = 0.7
@@ -156,7 +158,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic",
     return Model(*pickle.loads(fit_in_one_task(training_sample(docs, labels, label, train_rows), fit)))
 
 
-SCORED = "score double, n_sentences long, offending array<struct<begin:long,end:long,score:double>>"
+SCORED = ("score", "n_sentences", "offending")
 
 
 def score(docs: DataFrame, model: Model, *, keep: list[str] = ("doc_id",)) -> DataFrame:
@@ -166,15 +168,22 @@ def score(docs: DataFrame, model: Model, *, keep: list[str] = ("doc_id",)) -> Da
     SENTENCE_THRESHOLD, as code point ranges of their words. Null, empty and wordless texts
     have score 0 and no sentence. Columns named like the results are replaced.
     """
+    return _score(docs, model, [c for c in keep if c not in SCORED], SCORED)
+
+
+def _score(docs: DataFrame, model: Model, names: list[str], made: Sequence[str]) -> DataFrame:
+    """Columns `names` of docs, and what SCORED says under the names `made`."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # 1 MB, fixed
-    names = [c for c in keep if c not in ("score", "n_sentences", "offending")]
+    picked = by_place(docs, names)
+    source = f"c{names.index('text')}" if "text" in names else "text"
+    columns = [c for c in picked.columns if c != "text"]
     kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "_text"):
-                data, offs = texts(rows.column("_text"))
+            for rows in slices(batch, source):
+                data, offs = texts(rows.column(source))
                 found = sentences(data, offs)
                 each, whole = shared.value.scores(found, rows.num_rows)
                 bad = np.flatnonzero(each >= SENTENCE_THRESHOLD)
@@ -188,14 +197,17 @@ def score(docs: DataFrame, model: Model, *, keep: list[str] = ("doc_id",)) -> Da
                          pa.array(points[found.end[bad]] - origin, pa.int64()), pa.array(each[bad])],
                         ["begin", "end", "score"])).cast(kind)
                 yield pa.record_batch(
-                    [rows.column(n) for n in names] + [
+                    [rows.column(n) for n in columns] + [
                         pa.array(whole), pa.array(np.bincount(found.row, minlength=rows.num_rows)
                                                   .astype(np.int64)), listed],
-                    names=[*names, "score", "n_sentences", "offending"])
+                    names=[*columns, *SCORED])
 
-    picked = docs.select(*(F.col(n) for n in names), F.col("text").alias("_text"))
-    schema = ", ".join([*(f"`{n}` {picked.schema[n].dataType.simpleString()}" for n in names), SCORED])
-    return picked.mapInArrow(run, schema)
+    sentence = T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType()),
+                             T.StructField("score", T.DoubleType())])
+    kinds = (T.DoubleType(), T.LongType(), T.ArrayType(sentence))
+    return picked.mapInArrow(run, T.StructType(
+        [T.StructField(n, picked.schema[n].dataType) for n in columns]
+        + [T.StructField(n, kind) for n, kind in zip(SCORED, kinds, strict=True)])).toDF(*names, *made)
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD,
@@ -209,6 +221,7 @@ def classify(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD
 
 def without_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD,
                   train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows of docs with a score under the threshold, all columns kept."""
-    scored = score(docs, train(docs, labels, train_rows=train_rows), keep=docs.columns)
-    return scored.where(F.col("score") < threshold).select(*docs.columns)
+    """The rows of docs with a score under the threshold, all columns kept as they are."""
+    made = unused(docs, *SCORED)
+    scored = _score(docs, train(docs, labels, train_rows=train_rows), list(docs.columns), made)
+    return scored.where(F.col(made[0]) < threshold).select(*(F.col(f"`{c}`") for c in docs.columns))
