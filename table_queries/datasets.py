@@ -399,6 +399,24 @@ def clean_country_indicators(spark, sf_dir):
         _raw_indicators(spark, sf_dir), LINE_ORDER, this_year=2025)
 
 
+@registry.query("""
+SELECT 'country_indicators' AS dataset, 'nulls' AS "check", item, n FROM (
+  SELECT count(*) FILTER (l_returnflag = 'N') AS "CountryName", 0::BIGINT AS "CountryISO", 0::BIGINT AS "Year",
+         0::BIGINT AS "Gini_index__SI_POV_GINI_", count(*) FILTER (l_tax > 0.04) AS "Net_migration__SM_POP_NETM_"
+  FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey, y ORDER BY l_orderkey, l_linenumber,
+            l_partkey, l_suppkey, l_extendedprice) AS rn
+        FROM (SELECT *, CASE WHEN l_linestatus = 'O' THEN year(l_shipdate)
+                             ELSE year(l_shipdate) - 96 END AS y FROM lineitem))
+  WHERE rn = 1 AND l_returnflag <> 'A' AND y BETWEEN 1900 AND 2025)
+UNPIVOT (n FOR item IN ("CountryName", "CountryISO", "Year", "Gini_index__SI_POV_GINI_", "Net_migration__SM_POP_NETM_"))
+""")
+def indicator_nulls(spark, sf_dir):
+    """What is missing in the cleaned indicators, stored as floats."""
+    cleaned = cleaning.clean_country_indicators(
+        _raw_indicators(spark, sf_dir), LINE_ORDER, this_year=2025, float32=True)
+    return audit.missing_values("country_indicators", cleaned.drop(*LINE_ORDER))
+
+
 # ---- quality reports ------------------------------------------------------------------
 
 @registry.query("""

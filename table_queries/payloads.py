@@ -133,6 +133,20 @@ def station_payloads(spark, sf_dir):
     return payloads.station_readings(raw, day=F.lit("2024-02-01").cast("date"))
 
 
+@registry.query("""
+SELECT c_name AS city, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude,
+       DATE '2024-01-01' AS date, c_acctbal AS temperature_2m_mean FROM customer
+""")
+def ingest_weather_whole_backup(spark, sf_dir):
+    """One payload that cannot be read is enough: all of the backup lands, nothing of the payloads."""
+    root = fresh_path(spark, "ingest")
+    backup = table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("city"), F.lit("2024-01-01").alias("date"),
+        F.col("c_acctbal").cast("string").alias("temperature_2m_mean"))
+    ingest.land_weather(_weather_raw(spark, sf_dir), root, backup, backup_if="any")
+    return landing.read_zone_table(spark, root, ingest.WEATHER_TABLE)
+
+
 def mixed_topic(spark, sf_dir):
     """Posts, heartbeats and broken messages made from the events."""
     kind = F.col("event_type")
@@ -172,6 +186,25 @@ def forum_posts_only(spark, sf_dir):
     return posts.select(F.col("id").cast("bigint").alias("id"), "score")
 
 
+@registry.query("""
+SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_type <> 'click' THEN user_id END AS score,
+       CASE WHEN event_type <> 'view' THEN value END AS created_utc, event_type AS title
+FROM events
+""")
+def mistyped_messages(spark, sf_dir):
+    """Fields of another type than the schema's are missing; the other fields and the message stay."""
+    kind, score = F.col("event_type"), F.col("user_id").cast("string")
+    at = F.when(kind == "view", F.lit('"soon"')).otherwise(F.to_json(F.array("value")))
+    at = F.when(kind == "view", at).otherwise(F.regexp_replace(at, r"[\[\]]", ""))
+    value = F.concat(
+        F.lit('{"message_type": "POST", "id": "'), F.col("event_id"), F.lit('", "score": '),
+        F.when(kind == "click", F.concat(F.lit('{"up": '), score, F.lit("}"))).otherwise(score),
+        F.lit(', "created_utc": '), at, F.lit(', "title": "'), kind, F.lit('"}'))
+    sent = table(spark, sf_dir, "events").select(value.alias("value"))
+    decoded = messages.well_formed(messages.decode(sent, messages.FORUM_SCHEMA))
+    return decoded.select("id", "score", "created_utc", "title")
+
+
 @registry.query("SELECT CAST(event_id AS VARCHAR) AS id, props AS title, user_id AS score FROM events")
 def message_round_trip(spark, sf_dir):
     """Rows encoded as message values and decoded again."""

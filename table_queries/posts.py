@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from table_queries.registry import Registry, table
 from terravane.functions.strings import word_text
-from terravane.operators import aggregates, filters, text
+from terravane.operators import aggregates, filters, learned, text
 from terravane.streaming.marks import advanced_marks, newer_than_marks
 
 registry = Registry()
@@ -108,6 +108,61 @@ def city_sentiment(spark, sf_dir):
     return aggregates.label_counts(enriched, "city", "assessment")
 
 
+#: Labelled documents whose hash begins with one of these digits are not learned from.
+_HELD_OUT = "01234"
+
+_LEARNED = rf"""
+WITH tok AS (
+  SELECT doc_id, list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}]+')) AS w,
+         contains('{_HELD_OUT}', left(md5(CAST(doc_id AS VARCHAR)), 1)) AS held_out FROM documents),
+known AS (SELECT w, 1 - toxic AS good FROM tok JOIN labels USING (doc_id) WHERE NOT held_out AND toxic IS NOT NULL),
+sizes AS (SELECT sum(good) AS goods, count(*) - sum(good) AS bads FROM known),
+weights AS (
+  SELECT word, CAST(round(ln(((g + 1) / (goods + 2)) / ((n - g + 1) / (bads + 2))) * 1000000) AS BIGINT) AS weight
+  FROM (SELECT word, sum(good) AS g, count(*) AS n FROM (SELECT unnest(w) AS word, good FROM known)
+        WHERE length(word) <= 64 GROUP BY word ORDER BY n DESC, word LIMIT 65536), sizes),
+means AS (SELECT doc_id, sum(weight) / count(*) AS mean
+          FROM (SELECT doc_id, unnest(w) AS word FROM tok) JOIN weights USING (word) GROUP BY doc_id)
+SELECT doc_id, held_out, round(mean) AS mean, CASE WHEN mean > 0 THEN 'good' WHEN mean < 0 THEN 'bad' ELSE 'neutral' END AS label,
+       round(CASE WHEN mean IS NULL THEN 1 ELSE 1 / (1 + exp(-abs(mean) / 1000000)) END, 6) AS score
+FROM tok LEFT JOIN means USING (doc_id)
+"""
+
+
+def _learned(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    first = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1)
+    docs = docs.select("doc_id", "text", F.coalesce(first.isin(list(_HELD_OUT)), F.lit(False)).alias("held_out"))
+    known = docs.filter(~F.col("held_out")).join(labels.select("doc_id", (1 - F.col("toxic")).alias("good")), "doc_id")
+    model = learned.WordModel(learned.word_weights(known, "text", "good"))
+    return docs.select("doc_id", "held_out", F.round(model.mean_weight("text")).alias("mean"),
+                       model.label("text").alias("l"))
+
+
+@registry.query(f"SELECT doc_id, held_out, label, score FROM ({_LEARNED})")
+def learned_labels(spark, sf_dir):
+    """Labels learned from labelled documents (toxic ones are bad), for every document."""
+    return _learned(spark, sf_dir).select(
+        "doc_id", "held_out", "l.label", F.round("l.score", 6).alias("score"))
+
+
+@registry.query(f"""
+WITH held AS (
+  SELECT round(mean / 1000) AS step, sum(1 - toxic) AS good, count(*) AS n, sum(toxic) AS bad
+  FROM ({_LEARNED}) JOIN labels USING (doc_id) WHERE held_out AND toxic IS NOT NULL GROUP BY 1)
+SELECT CAST(sum(n) AS BIGINT) AS texts, CAST(sum(good) AS BIGINT) AS goods,
+       round(sum(good * (coalesce(below, 0) + bad / 2)) / (sum(good) * sum(bad)), 6) AS area
+FROM (SELECT *, sum(bad) OVER (ORDER BY step NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS below
+      FROM held)
+""")
+def learned_labels_area(spark, sf_dir):
+    """How well the learned labels tell held-out documents apart: area under the curve."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("toxic")).alias("good"))
+    held = _learned(spark, sf_dir).filter("held_out").select("doc_id", (F.col("mean") / 1000).alias("mean"))
+    found = learned.separation(held.join(labels, "doc_id"), "mean", "good", steps=1)
+    return found.withColumn("area", F.round("area", 6))
+
+
 _MARKS = "SELECT user_id, max(ts) AS m FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1"
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from table_queries.registry import Registry, table
 from terravane.operators import aggregates, columns, medians, ranking
 from terravane.plans import reports
+from terravane.staging import fresh_path
 
 registry = Registry()
 
@@ -182,6 +183,25 @@ def distinct_ratios(spark, sf_dir):
     return ratios.select(*[F.round(c, 6).alias(c) for c in ratios.columns])
 
 
+@registry.query("""
+SELECT unnest(['text', 'lang', 'props']) AS "column", unnest([
+  (SELECT count(*) FROM documents), (SELECT count(*) FROM documents), (SELECT count(*) FROM events)]) AS "rows",
+  true AS close
+""")
+def distinct_ratios_merged(spark, sf_dir):
+    """Sketches per source or event type, stored, read and merged: within 3 % of the exact ratios."""
+    found, exact = [], []
+    for name, by, columns_ in (("documents", "source", ["text", "lang"]), ("events", "event_type", ["props"])):
+        df = table(spark, sf_dir, name)
+        path = fresh_path(spark, "sketches")
+        aggregates.distinct_sketches(df, [by], *columns_).write.parquet(path)
+        found.append(aggregates.sketched_ratios(spark.read.parquet(path)))
+        exact.append(aggregates.distinct_ratios(df, *columns_).select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in columns_]))))
+    both = found[0].unionByName(found[1]).join(exact[0].unionByName(exact[1]), "column")
+    return both.select("column", "rows", (F.abs(F.col("ratio") / F.col("exact") - 1) <= 0.03).alias("close"))
+
+
 @registry.query("""
 SELECT 'lineitem' AS dataset, 'qty_range' AS rule,
        count(*) FILTER (l_quantity NOT BETWEEN 5 AND 40) AS violations, count(*) AS "rows"

@@ -33,25 +33,64 @@ def table_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns"))
 
 
-def distinct_ratios(df: DataFrame, *names: str, approximate: bool = False) -> DataFrame:
+def _digest(df: DataFrame, name: str) -> Column:
+    """A text of at most 64 characters that tells the values of a column apart.
+
+    Texts of under 64 characters stand for themselves; others are replaced by their SHA-256,
+    which has 64, so the two cannot be confused.
+    """
+    if isinstance(df.schema[name].dataType, T.StringType):
+        text = F.col(name)
+    elif isinstance(df.schema[name].dataType, (T.ArrayType, T.MapType, T.StructType)):
+        text = F.to_json(F.struct(name), {"ignoreNullFields": "false"})
+        text = F.when(F.col(name).isNotNull(), text)
+    else:
+        text = F.col(name).cast("string")
+    return F.when(F.length(text) < 64, text).otherwise(F.sha2(text, 256))
+
+
+def distinct_ratios(df: DataFrame, *names: str) -> DataFrame:
     """One row: distinct values / rows per column (all text columns by default).
 
-    Long texts are replaced by their SHA-256 before they are shuffled; short ones are
-    compared as they are. A digest has 64 characters and the texts kept have fewer, so
-    the two cannot be confused.
+    Exact, with one shuffle of digests for any number of columns: (column, digest) pairs are
+    made distinct inside tasks first, with the rows they stand for, so a frequent value is one
+    row per task. ``sketched_ratios`` estimates the same from stored sketches. A table without
+    rows has no ratios.
     """
     names = names or tuple(text_columns(df))
-    rows = F.count(F.lit(1))
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("c"), _digest(df, n).alias("digest")) for i, n in enumerate(names)])))
+    counted = pairs.groupBy("c", "digest").agg(F.count(F.lit(1)).alias("n")).groupBy("c").agg(
+        F.count("digest").alias("values"), F.sum("n").alias("rows"))
+    return counted.agg(*[F.max(F.when(F.col("c") == i, F.col("values") / F.col("rows"))).alias(n)
+                         for i, n in enumerate(names)])
+
+
+#: log2 of the registers of a sketch: 16 KB, relative standard error 1.04 / sqrt(2^14) = 0.8 %.
+SKETCH_BITS = 14
 
-    def value(n: str) -> Column:
-        if not isinstance(df.schema[n].dataType, T.StringType):
-            return F.col(n)
-        return F.when(F.length(n) < 64, F.col(n)).otherwise(F.sha2(n, 256))
 
-    if approximate:
-        return df.agg(*[(F.approx_count_distinct(value(n)) / rows).alias(n) for n in names])
-    keyed = df.select(*[value(n).alias(n) for n in names])
-    return keyed.agg(*[(F.count_distinct(F.col(n)) / rows).alias(n) for n in names])
+def distinct_sketches(df: DataFrame, by: Sequence[str], *names: str) -> DataFrame:
+    """by..., column, rows, sketch -- a mergeable sketch of the values of each column per group.
+
+    To be stored next to a table, one row per group (a partition, a day) and column: new groups
+    are added without reading old ones, and ``sketched_ratios`` merges any selection.
+    """
+    names = names or tuple(n for n in text_columns(df) if n not in by)
+    pairs = df.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(n).alias("column"), _digest(df, n).alias("digest")) for n in names])))
+    return pairs.groupBy(*by, "column").agg(
+        F.count(F.lit(1)).alias("rows"), F.hll_sketch_agg("digest", F.lit(SKETCH_BITS)).alias("sketch"))
+
+
+def sketched_ratios(sketches: DataFrame) -> DataFrame:
+    """column, rows, values, ratio from stored sketches.
+
+    ``values`` has a relative standard error of 0.8 %; 3 % are exceeded about once in 5,000 columns.
+    """
+    merged = sketches.groupBy("column").agg(
+        F.sum("rows").alias("rows"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("values"))
+    return merged.select("column", "rows", "values", (F.col("values") / F.col("rows")).alias("ratio"))
 
 
 def null_profile(df: DataFrame, *names: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """Exact medians without gathering a column in one task.
 
-Spark's ``median`` keeps every distinct value of the column in one aggregation buffer.
-Here the column is scanned three times, each pass returning only a small,
-bounded summary: a quantile sketch brackets the middle, counts over equal-width slices
-of that bracket find the slice with the middle ranks, and only the values of that
-slice (a few millionths of a smoothly spread column) are ranked exactly. The result is
-exact for any distribution.
+Spark's ``median`` keeps every distinct value of the column in one aggregation buffer. Here
+the two middle ranks are found by selection in passes. The first pass counts the values by
+sign and order of magnitude, each further pass counts the values of the slice with the
+middle rank by equally wide parts of that slice. A pass keeps at most 65,536 counters per
+column (with the least and greatest value of each), combined before the shuffle; one row
+per column and rank reaches the driver. It ends when the least and greatest value of the
+slice are equal: after two or three passes for most data, after five at the latest, as each
+further pass settles about sixteen bits of a number.
 """
 
 from __future__ import annotations
@@ -14,17 +16,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-_ACCURACY = 1000
-_MARGIN = 4.0 / _ACCURACY
-_SLICES = 4096
+#: Counters per slice and pass.
+_SLICES = 1 << 16
+# Natural logarithms of the least and greatest positive double lie between these.
+_LOG_LOW, _LOG_HIGH = -746.0, 711.0
 
 
 def exact_medians(df: DataFrame, *names: str) -> DataFrame:
     """One row with the median of each named column; missing values are left out.
 
     The median of an even number of values is the mean of the middle two. A column
-    without values gives NULL.
+    without values gives NULL. The passes run when this is called.
     """
     numbers = df.select(*[F.nanvl(F.col(n).cast("double"), F.lit(None)).alias(n) for n in names])
     return spread_medians(numbers, *names)
@@ -32,6 +34,12 @@ def exact_medians(df: DataFrame, *names: str) -> DataFrame:
 
 def spread_medians(df: DataFrame, *names: str) -> DataFrame:
     """``exact_medians`` for double columns of any size."""
+    found = _medians(df, names)
+    return df.sparkSession.createDataFrame(
+        [tuple(found)], T.StructType([T.StructField(n, T.DoubleType()) for n in names]))
+
+
+def _medians(df: DataFrame, names: tuple[str, ...]) -> list[float | None]:
     values = (
         df.select(F.inline(F.array(*[
             F.struct(F.lit(i).alias("c"), F.col(n).alias("v"))
@@ -39,65 +47,66 @@ def spread_medians(df: DataFrame, *names: str) -> DataFrame:
         ])))
         .filter(F.col("v").isNotNull())
     )
-
-    bracket = values.groupBy("c").agg(
-        F.count("v").alias("n"),
-        F.percentile_approx("v", [0.5 - _MARGIN, 0.5 + _MARGIN], _ACCURACY).alias("edges"),
-    ).select(
-        "c", F.col("edges")[0].alias("low"), F.col("edges")[1].alias("high"),
-        # 1-based ranks of the middle value or values
-        F.floor((F.col("n") + 1) / 2).alias("rank_a"),
-        (F.floor(F.col("n") / 2) + 1).alias("rank_b"),
-    )
-
-    width = F.col("high") - F.col("low")
-    share = (F.col("v") - F.col("low")) / width
-    sliced = values.join(F.broadcast(bracket), "c").filter(F.col("v") <= F.col("high")).withColumn(
-        "slice",
-        F.when(F.col("v") < F.col("low"), -1)
-        .when((width > 0) & (width < float("inf")),
-              F.least(F.lit(_SLICES - 1), F.floor(share * _SLICES)).cast("int"))
-        .otherwise(0),
-    )
-
-    # At most _SLICES + 1 rows per column reach this window.
-    upto = Window.partitionBy("c").orderBy("slice")
-    ranked_slices = (
-        sliced.groupBy("c", "slice", "rank_a", "rank_b").agg(F.count("v").alias("n"))
-        .withColumn("last", F.sum("n").over(upto))
-        .withColumn("before", F.col("last") - F.col("n"))
-    )
-    targets = ranked_slices.filter(
-        F.col("rank_a").between(F.col("before") + 1, F.col("last"))
-        | F.col("rank_b").between(F.col("before") + 1, F.col("last"))
-    ).select("c", "slice", "before")
-
-    within = Window.partitionBy("c", "slice").orderBy("v")
-    middles = (
-        sliced.join(F.broadcast(targets), ["c", "slice"])
-        .groupBy("c", "slice", "before", "rank_a", "rank_b", "v").agg(F.count("v").alias("n"))
-        .withColumn("last", F.col("before") + F.sum("n").over(within))
-        .withColumn("first", F.col("last") - F.col("n") + 1)
-        .groupBy("c").agg(
-            F.max(F.when(F.col("rank_a").between(F.col("first"), F.col("last")), F.col("v")))
-            .alias("a"),
-            F.max(F.when(F.col("rank_b").between(F.col("first"), F.col("last")), F.col("v")))
-            .alias("b"),
-        )
-    )
-    lost = F.raise_error(F.lit("the quantile bracket missed the median")).cast("double")
-    found = bracket.select("c").join(middles, "c", "left").withColumn(
-        "median",
-        F.when(F.col("a").isNull() | F.col("b").isNull(), lost)
-        .when(F.col("a") == F.col("b"), F.col("a"))
-        .otherwise(F.col("a") * 0.5 + F.col("b") * 0.5))
-    return found.agg(*[
-        F.max(F.when(F.col("c") == i, F.col("median"))).alias(n) for i, n in enumerate(names)
-    ])
+    by_column = Window.partitionBy("c").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    n = F.sum("n").over(by_column)
+    middle = F.array(F.floor((n + 1) / 2), F.floor(n / 2) + 1)  # 1-based, equal if n is odd
+    slices = _counted(values, ["c"], _magnitude(F.col("v"))).withColumn(
+        "wanted", F.transform(F.array_distinct(middle), lambda r: r.cast("bigint")))
+    open_slices = _with_rank(slices, ["c"])
+    middles: dict[int, list[float]] = {}
+    while True:
+        wanted = []
+        for r in open_slices.collect():  # at most two rows per column
+            if r["low"] == r["high"]:
+                middles.setdefault(r["c"], []).append(r["low"])
+            else:
+                wanted.append((r["c"], len(wanted), r["low"], r["high"], [r["rank"]]))
+        if not wanted:
+            return [_mean(middles.get(i)) for i in range(len(names))]
+        slice_of = df.sparkSession.createDataFrame(
+            wanted, "c int, t int, low double, high double, wanted array<bigint>")
+        inside = values.join(F.broadcast(slice_of), "c").filter(F.col("v").between(F.col("low"), F.col("high")))
+        share = (F.col("v") - F.col("low")) / (F.col("high") - F.col("low"))
+        place = F.least(F.floor(share * _SLICES), F.lit(_SLICES - 1)).cast("int")
+        counted = _counted(inside, ["c", "t", "wanted"], place)
+        open_slices = _with_rank(counted, ["c", "t"])
+
+
+def _mean(middle: list[float] | None) -> float | None:
+    """Mean of the middle value or values; halves first, so that it cannot overflow."""
+    if not middle:
+        return None
+    return middle[0] if middle[0] == middle[-1] else middle[0] * 0.5 + middle[-1] * 0.5
+
+
+def _magnitude(v: Column) -> Column:
+    """Slice by sign and logarithm: never falls as ``v`` grows. Infinities have their own."""
+    half = _SLICES // 2 - 2
+    size = F.floor((F.log(F.abs(v)) - _LOG_LOW) / (_LOG_HIGH - _LOG_LOW) * half) + 1
+    size = F.when(F.abs(v) == float("inf"), half + 1).otherwise(size)
+    return (F.when(v > 0, size).when(v < 0, -size).otherwise(0)).cast("int")
+
+
+def _counted(values: DataFrame, keys: list[str], place: Column) -> DataFrame:
+    return values.groupBy(*keys, place.alias("slice")).agg(
+        F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+
+
+def _with_rank(slices: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, low, high, rank: the slices that hold a wanted rank, with the rank inside.
+
+    The window runs over counters, at most 65,536 per key, never over values.
+    """
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("slice"))
+    return (slices.withColumn("last", upto).withColumn("before", F.col("last") - F.col("n"))
+            .select(*keys, "low", "high", "before", "last", F.explode("wanted").alias("rank"))
+            .filter((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("last")))
+            .select(*keys, "low", "high", (F.col("rank") - F.col("before")).alias("rank")))
 
 
 def approximate_medians(df: DataFrame, *names: str) -> DataFrame:
-    """One pass instead of three; ranks are off by at most one in ten thousand."""
+    """One pass; ranks are off by at most one in ten thousand."""
     return df.agg(*[F.percentile_approx(n, 0.5, 10000).alias(n) for n in names])
 
 
@@ -105,15 +114,20 @@ def impute_medians(df: DataFrame, *names: str, exact: bool = True) -> DataFrame:
     """Fill the missing values of each named column with the column's median.
 
     Whole-number columns become double when they are filled, as the median may have a
-    fraction.
+    fraction. Exact medians are found when this is called and become constants of the plan;
+    approximate ones are a subquery of it.
     """
     if not names:
         return df
-    medians = (exact_medians if exact else approximate_medians)(df, *names)
-    row: Column = medians.select(F.struct(*names).alias("m")).scalar()
+    if exact:
+        found = exact_medians(df, *names).first()
+        median = {n: F.lit(found[n]).cast("double") for n in names}
+    else:
+        row = approximate_medians(df, *names).select(F.struct(*names).alias("m")).scalar()
+        median = {n: row.getField(n).cast("double") for n in names}
     filled = {}
     for n in names:
-        wide = F.coalesce(F.col(n).cast("double"), row.getField(n).cast("double"))
+        wide = F.coalesce(F.col(n).cast("double"), median[n])
         is_float = isinstance(df.schema[n].dataType, T.FloatType)
         filled[n] = wide.cast("float") if is_float else wide
     return df.withColumns(filled)

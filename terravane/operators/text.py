@@ -8,6 +8,7 @@ pandas UDF column function instead: ``tagger(text) -> array<string>`` and
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,32 +80,107 @@ def _per_place(df: DataFrame, alias: str) -> DataFrame:
             .filter(F.col(alias).isNotNull()))
 
 
-def _runs(words: Column, n: Column) -> Column:
-    """Every run of ``n`` words, none if there are fewer words."""
-    starts = F.sequence(F.lit(1), F.size(words) - n + 1)
-    return F.when(F.size(words) >= n, F.transform(
-        starts, lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array())
+#: Bits of a gazetteer's filter, at most: 1 MB for each of the two kinds of codes.
+FILTER_BITS = 23
+_PLACE_BITS = 6  # of a bit inside a long
+
+
+def _longer(code: Column, word: Column) -> Column:
+    """Code of a run from that of the run without its last word."""
+    return F.xxhash64(code, word)
+
+
+@dataclass(frozen=True)
+class NameFilter:
+    """What is known of the names of a gazetteer: a fixed number of bits.
+
+    ``starts`` has a bit for the code of every run of words that a name begins with, ``wholes``
+    for every name, in longs; ``longest`` is the number of words of the longest name.
+    """
+    bits: int
+    longest: int
+    starts: list[int]
+    wholes: list[int]
+
+    def held(self, kind: str, code: Column) -> Column:
+        place = F.shiftrightunsigned(code, 64 - self.bits)
+        # one text that the optimizer turns into an array, not an expression per element
+        longs = F.split(F.lit(",".join(map(str, getattr(self, kind)))), ",").cast("array<bigint>")
+        slot = F.get(longs, F.shiftright(place, _PLACE_BITS).cast("int"))
+        return F.bit_get(slot, place.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
+def name_filter(names: DataFrame, most_bits: int = FILTER_BITS) -> NameFilter:
+    """The filter of names, arrays of words in the column ``words``. Runs when it is called.
+
+    It takes about 16 bits for each beginning of a name, but 2^most_bits at most, which also
+    bounds what reaches the driver. More names set more bits, so more runs pass that are no
+    name, but none that is one is stopped.
+    """
+    runs, longest = names.agg(F.sum(F.size("words")), F.max(F.size("words"))).first()
+    bits = min(max((16 * (runs or 0)).bit_length(), _PLACE_BITS + 1), most_bits)
+    coded = names.select(F.aggregate(
+        "words", F.array(F.lit(0).cast("bigint")),
+        lambda codes, w: F.concat(codes, F.array(_longer(F.element_at(codes, -1), w)))).alias("codes"))
+    each = coded.select(F.size("codes").alias("n"), F.posexplode("codes").alias("at", "code")).filter("at > 0")
+    place = F.shiftrightunsigned("code", 64 - bits)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
+    filled = each.groupBy(F.shiftright(place, _PLACE_BITS).alias("slot")).agg(
+        F.bit_or(bit).alias("starts"),
+        F.bit_or(F.when(F.col("at") == F.col("n") - 1, bit).otherwise(0)).alias("wholes"))
+    starts, wholes = ([0] * (1 << bits - _PLACE_BITS) for _ in range(2))
+    for r in filled.collect():  # at most as many rows as longs
+        starts[r["slot"]], wholes[r["slot"]] = r["starts"], r["wholes"]
+    return NameFilter(bits, longest or 0, starts, wholes)
+
+
+def possible_names(words: Column, known: NameFilter) -> Column:
+    """Runs of words that pass the filter: structs (at, code, length).
+
+    Runs grow word by word and only while a name begins like that, so a run that is no
+    beginning is not made longer.
+    """
+    def grown(runs: Column, length: Column) -> Column:
+        longer = F.transform(F.filter(runs, lambda r: r["at"] + length <= F.size(words)), lambda r: F.struct(
+            r["at"].alias("at"), _longer(r["code"], F.get(words, r["at"] + length - 1)).alias("code"),
+            length.alias("length")))
+        return F.filter(longer, lambda r: known.held("starts", r["code"]))
+
+    def whole(runs: Column) -> Column:
+        return F.filter(runs, lambda r: known.held("wholes", r["code"]))
+
+    kind = "array<struct<at:int,code:bigint,length:int>>"
+    first = F.filter(F.transform(words, lambda w, i: F.struct(
+        i.alias("at"), _longer(F.lit(0).cast("bigint"), w).alias("code"), F.lit(1).alias("length"))),
+        lambda r: known.held("starts", r["code"]))
+    state = let(first, lambda runs: F.struct(runs.cast(kind).alias("runs"), whole(runs).cast(kind).alias("found")))
+    if known.longest < 2:
+        return state.getField("found")
+    lengths = F.sequence(F.lit(2), F.lit(known.longest))
+    return F.aggregate(lengths, state, lambda s, n: let(grown(s["runs"], n), lambda runs: F.struct(
+        runs.cast(kind).alias("runs"), F.concat(s["found"], whole(runs).cast(kind)).alias("found")))).getField("found")
 
 
 def place_mentions(df: DataFrame, text: str, gazetteer: DataFrame, keep: Sequence[str],
-                   name: str = "place", alias: str = "city") -> DataFrame:
+                   name: str = "place", alias: str = "city", filter_bits: int = FILTER_BITS) -> DataFrame:
     """The ``keep`` columns and the place, per (post, place), for a gazetteer of any size.
 
-    Each text yields its distinct runs of as many words as names of the gazetteer have, which
-    are joined to it: names of one and of six words cost two runs per word, not six. The
-    numbers of words come from a subquery, so there is no cap on the length of a name. The
-    runs are made distinct inside the row, so no shuffle is needed to make the result
-    distinct. Keep an identifier rather than the text: the kept columns travel with every
-    run when the gazetteer is too large to broadcast. An empty gazetteer or text names nothing.
+    A filter of fixed size is made from the beginnings of all names when this is called. Inside
+    the row, runs of words grow from every word as long as they may begin a name; the
+    few that may be whole names become texts, distinct in the row, and are joined to the
+    gazetteer. So most words cost one look into the filter, names may have any number of
+    words, and nothing needs a shuffle to be distinct. Keep an identifier rather than the
+    text: the kept columns travel with every run when the gazetteer is too large to broadcast.
+    An empty gazetteer or text names nothing.
     """
     dim = (gazetteer.groupBy(F.btrim(word_text(name)).alias("_run")).agg(F.min(name).alias(alias))
            .filter(F.col("_run") != ""))
-    lengths = dim.agg(F.collect_set(F.size(F.split("_run", " ")))).scalar()
+    known = name_filter(dim.select(F.split("_run", " ").alias("words")), filter_bits)
     words = F.col("_words")
-    runs = F.array_distinct(F.flatten(F.transform("_lengths", lambda n: _runs(words, n))))
-    split = df.select(*keep, lengths.alias("_lengths"), F.array_remove(
-        F.split(F.lower(text), r"[^\p{L}]+"), "").alias("_words"))
-    return (split.select(*keep, F.explode(runs).alias("_run"))
+    split = df.select(*keep, F.array_remove(F.split(F.lower(text), r"[^\p{L}]+"), "").alias("_words"))
+    runs = F.transform(possible_names(words, known), lambda r: F.array_join(
+        F.slice(words, r["at"] + 1, r["length"]), " "))
+    return (split.select(*keep, F.explode(F.array_distinct(runs)).alias("_run"))
             .join(dim, "_run").select(*keep, alias))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from terravane.functions import dates, names, numbers, strings
 from terravane.operators import dedup, joins
+from terravane.operators.aggregates import null_profile
 from terravane.operators.tables import union_all
 from terravane.plans.quality import quality_report
 from terravane.plans.registry import plan_for
@@ -111,6 +112,13 @@ def dataset_audit(name: str, raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     return union_all(*parts).select(F.lit(name.lower()).alias("dataset"), "check", "item", "n")
 
 
+def missing_values(name: str, cleaned: DataFrame) -> DataFrame:
+    """Missing values per column of a cleaned dataset, zeros included, as lines of an audit."""
+    profile = null_profile(cleaned, *[c for c in cleaned.columns if c != dedup.ORDINAL])
+    return profile.select(F.lit(name.lower()).alias("dataset"), F.lit("nulls").alias("check"),
+                          F.col("column").alias("item"), F.col("nulls").alias("n"))
+
+
 def flow_audit(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame]) -> DataFrame:
     """Audits of all datasets; ``cleaned`` is keyed by the lower-cased names of ``raw``."""
     return union_all(*[dataset_audit(n, df, cleaned[n.lower()]) for n, df in raw.items()])

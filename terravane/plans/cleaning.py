@@ -271,11 +271,12 @@ def clean_air_quality_index(df: DataFrame, date_format: str = dates.DATE_FORMAT,
 
 
 def clean_country_indicators(df: DataFrame, order_by: Sequence | None = None,
-                             this_year: int | None = None) -> DataFrame:
+                             this_year: int | None = None, float32: bool = False) -> DataFrame:
     """Yearly development indicators per country, 1900 up to the current year.
 
     Header names are accepted in their raw and in their landed spelling. A table whose
-    years are all missing is kept whole.
+    years are all missing is kept whole. ``float32`` stores the indicators as floats, which
+    rounds large ones; ``audit.missing_values`` counts what is missing afterwards.
     """
     code, name = names.find_column(df, "Country Code"), names.find_column(df, "Country Name")
     if code is None or "Time" not in df.columns:
@@ -300,4 +301,6 @@ def clean_country_indicators(df: DataFrame, order_by: Sequence | None = None,
     last = this_year or date.today().year
     in_range = numbers.let(F.col("Year"), lambda y: y.between(1900, last))
     df = df.filter(F.coalesce(in_range, ~has_year))
+    if float32:
+        df = columns.to_float32(df, *indicators)
     return _without_order(df, had_ordinal)

@@ -1,7 +1,8 @@
 """API payloads -> landing zone: split off bad payloads, choose the source, coerce, write.
 
 A payload that cannot be read costs its own city only and is returned with the rejects.
-The backup table stands in, as a whole, when no payload could be read at all.
+The backup table stands in, as a whole, when no payload could be read at all, or with
+``backup_if="any"`` as soon as one could not.
 """
 
 from __future__ import annotations
@@ -39,33 +40,40 @@ def shaped_like(backup: DataFrame, primary: DataFrame) -> DataFrame:
         for f in primary.schema])
 
 
-def _land(rows: DataFrame, backup: DataFrame | None, root: str, name: str, mode: str) -> str:
+def _land(rows: DataFrame, rejected: DataFrame, backup: DataFrame | None, backup_if: str, root: str,
+          name: str, mode: str) -> str:
+    if backup_if not in ("all", "any"):
+        raise ValueError(f"backup_if is 'all' or 'any', not {backup_if!r}")
     rows = sanitize_columns(rows)
     if backup is not None:
+        if backup_if == "any":
+            rows = rows.filter(~rejected.limit(1).select(F.lit(1).alias("one")).exists())
         rows = primary_or_backup(rows, shaped_like(backup, rows))
     return landing.write_table(rows, root, name, mode)
 
 
 def land_weather(raw: DataFrame, root: str, backup: DataFrame | None = None,
                  name: str = WEATHER_TABLE, cities: DataFrame | None = None,
-                 mode: str = "overwrite") -> DataFrame:
+                 mode: str = "overwrite", backup_if: str = "all") -> DataFrame:
     """Land one row per city and day of weather payloads (column ``value``).
 
     Returns the rejected payloads; see ``payloads.daily_weather`` for what is rejected.
+    ``backup_if`` says when the backup lands instead: if all payloads are rejected, or any.
     """
     days, rejected = payloads.daily_weather(raw, cities=cities)
-    _land(days, backup, root, name, mode)
+    _land(days, rejected, backup, backup_if, root, name, mode)
     return rejected
 
 
 def land_stations(raw: DataFrame, root: str, backup: DataFrame | None = None,
                   name: str = STATION_TABLE, day: Column | None = None,
-                  mode: str = "overwrite") -> DataFrame:
+                  mode: str = "overwrite", backup_if: str = "all") -> DataFrame:
     """Land one reading per station payload (columns ``city`` and ``value``) as numbers.
 
-    Returns the payloads without an ok status.
+    Returns the payloads without an ok status; ``backup_if`` as in ``land_weather``.
     """
     readings = payloads.station_readings(raw, day=day)
-    _land(columns.to_numbers(readings, *STATION_NUMBERS), backup, root, name, mode)
     ok = F.get_json_object("value", "$.status") == "ok"
-    return raw.filter(~F.coalesce(ok, F.lit(False)))
+    rejected = raw.filter(~F.coalesce(ok, F.lit(False)))
+    _land(columns.to_numbers(readings, *STATION_NUMBERS), rejected, backup, backup_if, root, name, mode)
+    return rejected

@@ -51,13 +51,15 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType,
     scan = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
     if not ordinal:
         return scan
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/part-(\d+)-[^/]*$", 1)
     placed = scan.withColumn(ORDINAL, F.struct(
         F.col("_metadata.file_modification_time").alias("written"),
+        F.when(number != "", number.try_cast("bigint")).alias("part"),  # as a number: it may have six digits
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row")))
     order = F.col(ORDINAL)
-    first = F.broadcast(_first_written(spark, path))  # one row per file
+    first = _first_written(spark, path)  # one row per file, broadcast if they are few
     return placed.join(first, order["file"] == F.col("_file"), "left").withColumn(
         ORDINAL, order.withField("written", F.coalesce("_first", order["written"]))
     ).drop("_file", "_first")

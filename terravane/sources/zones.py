@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terravane.operators.dedup import ORDINAL
@@ -36,8 +37,14 @@ def save_tables(tables: dict[str, DataFrame], zone: str, mode: str = "overwrite"
         save_table(df, zone, name, mode)
 
 
+#: Ends of the names of tables that a running or interrupted merge keeps next to its table.
+_MERGE_ENDS = ("__merging", "__merged", "__touched")
+
+
 def table_names(spark: SparkSession, zone: str) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(zone) if not t.isTemporary)
+    """Tables of the zone, without what an interrupted merge left next to one of them."""
+    names = sorted(t.name for t in spark.catalog.listTables(zone) if not t.isTemporary)
+    return [n for n in names if not any(n.endswith(e) and n.removesuffix(e) in names for e in _MERGE_ENDS)]
 
 
 def read_tables(spark: SparkSession, zone: str) -> dict[str, DataFrame]:
@@ -63,31 +70,90 @@ def zone_heads(spark: SparkSession, zone: str, n: int = 10) -> dict[str, DataFra
 
 
 def reset_zone(spark: SparkSession, zone: str) -> list[str]:
-    """Drop every table of the named zone; returns their names."""
+    """Drop every table of the named zone, also what merges left; returns the tables' names."""
     names = table_names(spark, zone)
-    for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS {_quoted(zone, name)}")
+    for t in spark.catalog.listTables(zone):
+        if not t.isTemporary:
+            spark.sql(f"DROP TABLE IF EXISTS {_quoted(zone, t.name)}")
     return names
 
 
 def upsert_table(source: DataFrame, zone: str, name: str, keys: Sequence[str]) -> None:
     """Merge rows into a table: matches are replaced, the rest is added.
 
+    Of a partitioned table only the partitions that hold a matching key or get a row are read
+    whole and written; the files of all others stay as they are. A partition that loses its last
+    row is dropped. A table without partitions is rewritten as a whole.
+
     The merged rows are written under a name of their own first, as a table cannot be
     overwritten while it is read, and then replace the table's rows; definition and
     partitioning stay. Merged rows that a crash left behind are whole, as they get their
     name last: the next call puts them in place before its own.
     """
     spark = source.sparkSession
-    table, merging, merged = (_quoted(zone, f"{name}{end}") for end in ("", "__merging", "__merged"))
-
-    def put_in_place() -> None:
-        rows = spark.table(merged).select(*spark.table(table).columns)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").insertInto(table)
-        spark.sql(f"DROP TABLE {merged}")
+    table = _quoted(zone, name)
+    merging, merged, touched = (_quoted(zone, name + end) for end in _MERGE_ENDS)
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
     if spark.catalog.tableExists(merged):
-        put_in_place()
-    upsert_rows(spark.table(table), source, keys).write.mode("overwrite").saveAsTable(merging)
+        _put_in_place(spark, table, merged, touched, parts)
+    target = spark.table(table)
+    if parts:
+        moved = _touched_partitions(target, source, keys, parts)
+        if not moved:
+            return
+        spark.createDataFrame(moved, target.select(*parts).schema).write.mode("overwrite").saveAsTable(touched)
+        target = target.filter(_in_partitions(moved, parts))
+    upsert_rows(target, source, keys).write.mode("overwrite").saveAsTable(merging)
     spark.sql(f"ALTER TABLE {merging} RENAME TO {merged}")
-    put_in_place()
+    _put_in_place(spark, table, merged, touched, parts)
+
+
+def _touched_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                        parts: list[str]) -> list[tuple]:
+    """Partition values of the rows that a merge replaces or adds: at most one row per partition."""
+    wanted = source.select(*keys).dropna("any")
+    old = target.select(*parts, *[k for k in keys if k not in parts]).join(wanted, list(keys), "left_semi")
+    kinds = [target.schema[p].dataType for p in parts]
+    new = source.select(*[F.col(p).cast(kind).alias(p) for p, kind in zip(parts, kinds, strict=True)])
+    return [tuple(r) for r in old.select(*parts).union(new).distinct().collect()]
+
+
+def _in_partitions(values: list[tuple], parts: list[str]) -> Column:
+    """Condition on partition columns alone, so that the scan lists only these partitions."""
+    def one(row: tuple) -> Column:
+        return reduce(lambda a, b: a & b, [
+            F.col(p).isNull() if v is None else F.col(p) == F.lit(v) for p, v in zip(parts, row, strict=True)])
+
+    plain = [r[0] for r in values if r[0] is not None]
+    if len(parts) == 1 and plain:
+        listed = F.col(parts[0]).isin(plain)
+        return listed | F.col(parts[0]).isNull() if len(plain) < len(values) else listed
+    return reduce(lambda a, b: a | b, [one(r) for r in values])
+
+
+def _put_in_place(spark: SparkSession, table: str, merged: str, touched: str, parts: list[str]) -> None:
+    """Replace the touched partitions, or all rows, by the merged ones; can be repeated."""
+    rows = spark.table(merged).select(*spark.table(table).columns)
+    conf, key = spark.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic" if parts else "static")
+    try:
+        rows.write.mode("overwrite").insertInto(table)
+    finally:
+        conf.set(key, before)
+    if parts and spark.catalog.tableExists(touched):
+        same = [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in parts]
+        filled = rows.select(*parts).distinct().toDF(*[f"_{p}" for p in parts])
+        for r in spark.table(touched).join(filled, same, "left_anti").collect():
+            spec = ", ".join(f"{_quoted(p)} = {_literal(r[p])}" for p in parts)
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    spark.sql(f"DROP TABLE {merged}")
+    spark.sql(f"DROP TABLE IF EXISTS {touched}")
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return str(value) if isinstance(value, int) else f"'{text}'"

@@ -2,9 +2,10 @@
 
 A poll (micro-batch) is compared with the marks as they were before it. Afterwards an
 author's mark moves to the newest of that author's posts, whether or not it matched the
-topic words. The marks are a table with one row per followed author, written as one
-version per micro-batch. The comparison is a join and the new marks are a plain maximum, so a
-busy author is never gathered in one task.
+topic words. The marks are a log: a micro-batch adds the marks that it moved, and nothing for
+the other authors. As marks only move forward, the mark of an author is the largest in the log.
+The comparison is a join and the new marks are a plain maximum, so a busy author is never
+gathered in one task.
 """
 
 from __future__ import annotations
@@ -22,8 +23,6 @@ from terravane.functions.strings import contains_any
 from terravane.staging import drop_versions, finished_versions
 
 MARKS_SCHEMA = "author string, mark timestamp"
-# A replay needs the version before the batch; a few more are kept for inspection.
-KEPT_VERSIONS = 10
 
 
 def newer_than_marks(posts: DataFrame, marks: DataFrame, author: str, time: str,
@@ -36,14 +35,28 @@ def newer_than_marks(posts: DataFrame, marks: DataFrame, author: str, time: str,
     return joined.filter(mark.isNull() | (F.col(time) > mark)).drop("_author", "_mark")
 
 
+def newest_posts(posts: DataFrame, author: str, time: str) -> DataFrame:
+    """author, mark -- the newest post of each author; authors or times that are missing have none."""
+    return (posts.select(F.col(author).alias("author"), F.col(time).alias("mark"))
+            .groupBy("author").agg(F.max("mark").alias("mark")).filter(F.col("mark").isNotNull()))
+
+
 def advanced_marks(posts: DataFrame, marks: DataFrame, author: str, time: str) -> DataFrame:
     """Marks moved up to the newest post of each author; never moved back."""
-    newest = posts.select(F.col(author).alias("author"), F.col(time).alias("mark"))
+    newest = newest_posts(posts, author, time)
     return (marks.select("author", "mark").unionByName(newest)
             .groupBy("author").agg(F.max("mark").alias("mark"))
             .filter(F.col("mark").isNotNull()))
 
 
+def moved_marks(posts: DataFrame, marks: DataFrame, author: str, time: str) -> DataFrame:
+    """Only the marks that the posts move, with their new value."""
+    newest = newest_posts(posts, author, time)
+    known = marks.select(F.col("author").alias("_author"), F.col("mark").alias("_mark"))
+    joined = newest.join(known, F.col("author").eqNullSafe(F.col("_author")), "left")
+    return joined.filter(F.col("_mark").isNull() | (F.col("mark") > F.col("_mark"))).select("author", "mark")
+
+
 class MarkedFeed:
     """A feed of (author, created_at, text) filtered by marks and topic words.
 
@@ -52,27 +65,50 @@ class MarkedFeed:
     """
 
     def __init__(self, spark: SparkSession, path: str, since: datetime | None = None,
-                 keywords: Sequence[str] = tuple(TOPIC_KEYWORDS)):
+                 keywords: Sequence[str] = tuple(TOPIC_KEYWORDS), fold_every: int = 100):
         self.spark = spark
         self.path = path.rstrip("/")
         self.since = since
         self.keywords = list(keywords)
+        self.fold_every = fold_every
 
     def marks_before(self, batch_id: int | None = None) -> DataFrame:
-        """Marks of the latest version before a micro-batch (latest of all if None)."""
-        versions = finished_versions(self.spark, self.path, "version")
-        earlier = [v for v in versions if batch_id is None or v < batch_id]
-        if not earlier:
+        """Marks as the micro-batches before one left them (all of them if None)."""
+        def before(folder: str, label: str) -> list[int]:
+            found = finished_versions(self.spark, f"{self.path}/{folder}", label)
+            return [v for v in found if batch_id is None or v < batch_id]
+
+        read = self.spark.read.schema(MARKS_SCHEMA)
+        folds = before("folded", "upto")[-1:]
+        parts = [f"{self.path}/folded/upto={v}" for v in folds]
+        parts += [f"{self.path}/moved/batch_id={v}" for v in before("moved", "batch_id") if v > max(folds, default=-1)]
+        if not parts:
             return self.spark.createDataFrame([], MARKS_SCHEMA)
-        return self.spark.read.schema(MARKS_SCHEMA).parquet(f"{self.path}/version={max(earlier)}")
+        return read.parquet(*parts).groupBy("author").agg(F.max("mark").alias("mark"))
+
+    def write_moved(self, moved: DataFrame, batch_id: int) -> None:
+        """Add the marks that a micro-batch moved; a replayed batch replaces its own.
+
+        Every ``fold_every`` batches the marks are also written in one piece. The log up to the
+        fold before goes, so a replay of this batch still finds what was before it.
+        """
+        moved.write.mode("overwrite").parquet(f"{self.path}/moved/batch_id={batch_id}")
+        folds = finished_versions(self.spark, f"{self.path}/folded", "upto")
+        last = max((v for v in folds if v < batch_id), default=-1)
+        if batch_id - last >= self.fold_every:
+            own = self.spark.read.schema(MARKS_SCHEMA).parquet(f"{self.path}/moved/batch_id={batch_id}")
+            folded = self.marks_before(batch_id).unionByName(own).groupBy("author").agg(F.max("mark").alias("mark"))
+            folded.write.mode("overwrite").parquet(f"{self.path}/folded/upto={batch_id}")
+            drop_versions(self.spark, f"{self.path}/moved", "batch_id", last)
+            drop_versions(self.spark, f"{self.path}/folded", "upto", last - 1)
 
     def poll(self, posts: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(posts to send, new marks) of one micro-batch."""
+        """(posts to send, marks moved) of one micro-batch."""
         timed = posts.withColumn("_at", iso_instant("created_at"))
         fresh = newer_than_marks(timed, marks, "author", "_at", self.since)
         to_send = fresh.filter(contains_any("text", self.keywords)).select(
             "author", "created_at", "text")
-        return to_send, advanced_marks(timed, marks, "author", "_at")
+        return to_send, moved_marks(timed, marks, "author", "_at")
 
     def start(self, posts: DataFrame, send: Callable[[DataFrame, int], None],
               checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -84,12 +120,11 @@ class MarkedFeed:
         def on_batch(batch: DataFrame, batch_id: int) -> None:
             batch.persist()
             try:
-                to_send, marks = self.poll(batch, self.marks_before(batch_id))
+                to_send, moved = self.poll(batch, self.marks_before(batch_id))
                 send(to_send, batch_id)
-                marks.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
+                self.write_moved(moved, batch_id)
             finally:
                 batch.unpersist()
-            drop_versions(self.spark, self.path, "version", batch_id - KEPT_VERSIONS)
 
         writer = posts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(on_batch)
         return writer.queryName("marked_feed").trigger(

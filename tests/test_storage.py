@@ -107,6 +107,44 @@ def test_catalog_zone(spark, zone):
     assert zones.table_names(spark, zone) == []
 
 
+def files_of(spark, zone, name, condition):
+    df = zones.read_tables(spark, zone)[name].filter(condition)
+    return {r[0] for r in df.select("_metadata.file_path").distinct().collect()}
+
+
+def test_upsert_leaves_other_partitions_alone(spark, zone):
+    kind = "x int, v string, p string, q int"
+    zones.save_table(frame(spark, kind, (1, "a", "k'1", 1), (2, "a", "k'1", 2), (3, "a", None, 1), (4, "a", "k2", 1),
+                           (5, "a", "k2", 1)), zone, "t", partition_by=["p", "q"])
+    kept = files_of(spark, zone, "t", "p = \"k'1\" and q = 2")
+    changes = frame(spark, kind, (1, "b", "k3", 1), (3, "b", "k2", 1), (4, "b", "k2", 1), (None, "n", None, 9))
+    zones.upsert_table(changes, zone, "t", ["x"])
+    assert rows(zones.read_tables(spark, zone)["t"].select("x", "v", "p", "q"), "x") == [
+        (None, "n", None, 9), (1, "b", "k3", 1), (2, "a", "k'1", 2), (3, "b", "k2", 1), (4, "b", "k2", 1),
+        (5, "a", "k2", 1)]
+    assert files_of(spark, zone, "t", "p = \"k'1\" and q = 2") == kept and len(kept) == 1
+    left = {r.partition for r in spark.sql(f"SHOW PARTITIONS `{zone}`.t").collect()}
+    assert len(left) == 4  # those that lost their last row are gone
+    zones.upsert_table(changes.limit(0), zone, "t", ["x"])
+    assert zones.table_names(spark, zone) == ["t"]
+    with pytest.raises(Exception, match="twice"):
+        zones.upsert_table(frame(spark, kind, (8, "", "", 1), (8, "", "", 1)), zone, "t", ["x"])
+
+
+def test_an_interrupted_merge_is_finished_and_not_listed(spark, zone, monkeypatch):
+    kind = "x int, p int"
+    zones.save_table(frame(spark, kind, (1, 1), (2, 2)), zone, "t", partition_by=["p"])
+    with monkeypatch.context() as broken:
+        broken.setattr(zones, "_put_in_place", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            zones.upsert_table(frame(spark, kind, (1, 3)), zone, "t", ["x"])
+    assert zones.table_names(spark, zone) == ["t"] and set(zones.read_tables(spark, zone)) == {"t"}
+    zones.upsert_table(frame(spark, kind, (4, 4)), zone, "t", ["x"])
+    assert rows(zones.read_tables(spark, zone)["t"], "x") == [(1, 3), (2, 2), (4, 4)]
+    assert zones.reset_zone(spark, zone) == ["t"]
+    assert not [t for t in spark.catalog.listTables(zone) if not t.isTemporary]
+
+
 def test_weather_payloads(spark):
     raw = text_frame(
         spark,

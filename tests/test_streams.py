@@ -123,15 +123,46 @@ def test_counters_before_the_first_batch(spark, tmp_path):
     assert current.count() == 0
 
 
-def test_old_marks_are_dropped(spark, topic, tmp_path):
-    feed = MarkedFeed(spark, str(tmp_path / "marks"))
+def test_a_batch_writes_only_moved_marks(spark, tmp_path):
+    feed = MarkedFeed(spark, str(tmp_path / "marks"), fold_every=3)
+    kind = "author string, created_at string, text string"
+
+    def batch(number, *posts):
+        _, moved = feed.poll(frame(spark, kind, *[(a, t, "x") for a, t in posts]), feed.marks_before(number))
+        feed.write_moved(moved, number)
+        path = str(tmp_path / "marks" / "moved" / f"batch_id={number}")
+        return rows(spark.read.parquet(path).select("author", F.dayofmonth("mark")), "author")
+
+    def day(d):
+        return f"2025-01-{d:02d}T00:00:00Z"
+
+    def known(number=None):
+        return rows(feed.marks_before(number).select("author", F.dayofmonth("mark")), "author")
+
+    assert batch(0, *[(f"a{i}", day(5)) for i in range(4)], (None, day(7)), ("z", "no day")) == [
+        (None, 7), ("a0", 5), ("a1", 5), ("a2", 5), ("a3", 5)]
+    assert batch(1, ("a0", day(4)), ("a1", day(6))) == [("a1", 6)]
+    assert batch(2, ("a2", day(5)), (None, day(6))) == []  # folds
+    assert batch(2, ("a2", day(6))) == [("a2", 6)]  # the replay of a batch replaces it
+    assert batch(3, ("b", day(1)), ("a3", day(8))) == [("a3", 8), ("b", 1)]
+    assert known() == [(None, 7), ("a0", 5), ("a1", 6), ("a2", 6), ("a3", 8), ("b", 1)]
+    assert known(2) == [(None, 7), ("a0", 5), ("a1", 6), ("a2", 5), ("a3", 5)]
+    for number in (4, 5, 6):
+        batch(number, ("c", day(number)))
+    assert known()[-1] == ("c", 6) and len(known()) == 7
+    assert [v for v in range(7) if (tmp_path / "marks" / "moved" / f"batch_id={v}").exists()] == [3, 4, 5, 6]
+
+
+def test_old_marks_are_folded(spark, topic, tmp_path):
+    feed = MarkedFeed(spark, str(tmp_path / "marks"), fold_every=4)
     for i in range(13):
         # One author per file: files written at the same moment arrive in any order.
         topic.send(post(f"a{i}", f"2025-01-{i + 1:02d}T00:00:00Z", "paris"))
     stream = messages.well_formed(posts.decoded_posts(topic.stream(1)))
     control.drain([feed.start(stream, send_to_folder(str(tmp_path / "sent")), str(tmp_path / "cp"),
                               NOW)], 300)
-    assert len(list((tmp_path / "marks").glob("version=*"))) == 10
+    assert len(list((tmp_path / "marks" / "moved").glob("batch_id=*"))) <= 8
+    assert feed.marks_before().count() == 13
     assert messages.read_json_lines(spark, str(tmp_path / "sent"), messages.POST_SCHEMA).count() == 13
 
 
