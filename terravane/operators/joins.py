@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terravane import dimensions
 from terravane.functions.strings import strip_lower
+from terravane.operators.dedup import ORDINAL
 
 
 def lookup(df: DataFrame, dimension: DataFrame, key: Column | str, dim_key: str,
@@ -101,6 +103,23 @@ def inner_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(right, reduce(lambda a, b: a & b, condition), "inner").select(*output)
 
 
+def _row_salt(df: DataFrame, salts: int) -> Column:
+    """A number below ``salts`` for each row, the same again if its task is recomputed.
+
+    It comes from the row's place in its file where the frame still shows it, so that equal rows
+    are spread too; else from the landed ordinal, else from all values of the row.
+    """
+    places = (["_metadata.file_path", "_metadata.row_index"], [f"`{ORDINAL}`"], [f"`{c}`" for c in df.columns])
+    for columns in places:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(salts))
+        try:
+            df.select(salt)  # is resolved at once
+        except AnalysisException:
+            continue
+        return salt
+    return F.lit(0).cast("bigint")
+
+
 def _nulls_salted(left: DataFrame, right: DataFrame, keys: list[str],
                   salts: int) -> tuple[DataFrame, DataFrame]:
     """Spread the left rows with a missing key; needs no pass to find the key that is hot."""
@@ -108,7 +127,7 @@ def _nulls_salted(left: DataFrame, right: DataFrame, keys: list[str],
         return reduce(lambda a, b: a | b, [F.col(f"{prefix}{k}").isNull() for k in keys])
 
     zero = F.lit(0).cast("bigint")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts))
+    salt = _row_salt(left, salts)
     every = F.sequence(zero, F.lit(salts - 1).cast("bigint"))
     return (left.withColumn("_part", F.when(incomplete(""), salt).otherwise(zero)),
             right.withColumn("_right_part", F.explode(
@@ -130,10 +149,8 @@ def _salted(left: DataFrame, right: DataFrame, keys: list[str], hot_share: float
         return (df.join(hot, reduce(lambda a, b: a & b, on), "left")
                 .drop(*[f"_hot_{k}" for k in keys]))
 
-    # The salt depends only on the row, so a recomputed task assigns it again unchanged.
-    row_salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts))
-    left = marked(left, "").withColumn(
-        "_salt", F.when(F.col("_hot"), row_salt).otherwise(F.lit(0).cast("bigint"))).drop("_hot")
+    left = marked(left.withColumn("_salt", _row_salt(left, salts)), "").withColumn(
+        "_salt", F.when(F.col("_hot"), F.col("_salt")).otherwise(F.lit(0).cast("bigint"))).drop("_hot")
     all_salts = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     right = marked(right, "_right_").withColumn(
         "_right_salt",

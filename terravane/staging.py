@@ -25,8 +25,29 @@ def enable_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
 
 
+#: Paths handed out in this process and not dropped yet.
+_handed_out: list[str] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nobody else uses; ``drop_scratch`` deletes it."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> list[str]:
+    """Delete what was written below the paths handed out so far; returns those that held anything.
+
+    Results are lazy and read their intermediate tables when they run, so call this once they are
+    written or collected. Results that are still needed fail afterwards.
+    """
+    dropped = []
+    while _handed_out:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True):
+            dropped.append(folder.toString())
+    return dropped
 
 
 def finished_versions(spark: SparkSession, path: str, label: str) -> list[int]:

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from terravane import dimensions
+from terravane import dimensions, staging
 from terravane.operators import (
     aggregates,
     columns,
@@ -114,6 +114,35 @@ def test_salted_join_equals_plain_join(spark, match_nulls):
     assert rows(nulls, "a", "b") == rows(plain, "a", "b")
 
 
+def test_equal_rows_of_a_table_get_different_salts(spark, tmp_path):
+    """By their place in the file, where the frame still shows it; the join gives the same pairs."""
+    equal = spark.range(400).select(F.lit(None).cast("string").alias("k"), F.lit(1).alias("x"))
+    equal.coalesce(2).write.parquet(str(tmp_path / "equal"))
+    stored = spark.read.parquet(str(tmp_path / "equal")).filter("x = 1").withColumnRenamed("x", "y")
+    left, _ = joins._nulls_salted(stored, stored.withColumnRenamed("k", "_right_k"), ["k"], 8)
+    parts = [r["count"] for r in left.groupBy("_part").count().collect()]
+    assert len(parts) == 8 and max(parts) < 100
+    assert left.select("_part").collect() == left.select("_part").collect()
+    derived = equal.withColumn("_ordinal", F.struct(F.monotonically_increasing_id().alias("row")))
+    assert derived.select(joins._row_salt(derived, 8)).distinct().count() == 8
+    assert equal.select(joins._row_salt(equal, 8)).distinct().count() == 1
+    small = spark.createDataFrame([(None, "a"), (None, "b"), ("k", "c")], "k string, z string")
+    for options in ({"null_salts": 8}, {"hot_share": 0.3, "salts": 4}):
+        joined = joins.inner_join(stored, small, ["k"], True, **options)
+        assert rows(joined.groupBy("z").count(), "z") == [("a", 400), ("b", 400)]
+
+
+def test_scratch_is_dropped_when_asked(spark):
+    path = staging.fresh_path(spark, "scratch")
+    spark.range(3).write.parquet(path)
+    staging.fresh_path(spark, "never-written")
+    dropped = staging.drop_scratch(spark)
+    assert any(path.endswith(p.rsplit("/", 1)[-1]) for p in dropped)
+    assert not any("never-written" in p for p in dropped) and staging.drop_scratch(spark) == []
+    with pytest.raises(Exception, match="(?i)not.exist|not_found"):
+        spark.read.parquet(path)
+
+
 # ---- medians ----
 
 @SLOW
