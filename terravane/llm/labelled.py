@@ -58,11 +58,14 @@ def hash_bound(wanted: int, of: int) -> int:
 
 
 def fit_in_one_task(features: DataFrame, fit: Callable[[pa.Table], bytes]) -> bytes:
-    """The model that `fit` makes of a bounded table, on an executor; only the model is returned."""
+    """The model that `fit` makes of a bounded table, on an executor; only the model is returned.
+
+    The rows come in the order of their values, so that equal tables give equal models.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = list(batches)
         if got:
             yield pa.record_batch({"model": pa.array([fit(pa.Table.from_batches(got))], pa.binary())})
 
-    made = features.repartition(1).mapInArrow(run, "model binary").first()
+    made = features.repartition(1).sortWithinPartitions(*features.columns).mapInArrow(run, "model binary").first()
     return fit(to_arrow_schema(features.schema).empty_table()) if made is None else made[0]

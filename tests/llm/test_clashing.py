@@ -106,6 +106,13 @@ def test_sample_is_bounded_whatever_repeats(spark):
         "text").collect() or got.count() <= 400
 
 
+@pytest.mark.parametrize("operator, label", [(toxicity, "toxic"), (quality, "quality")])
+def test_models_do_not_depend_on_the_order_of_rows(spark, operator, label):
+    docs, known = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    one, two = (operator.classify(d, known).select("doc_id", "score") for d in (docs, docs.repartition(5, "text")))
+    assert {tuple(r) for r in one.collect()} == {tuple(r) for r in two.collect()}
+
+
 HOSTILE = ['{"messages":["plain"]}', '{"messages":[null]}', '{"messages":[{}]}', '{"data.question":"q","data.answer":"a"}',
            r'{"prompt":"\ud800","completion":"a"}', r'{"\ud800":1}', '{"messages":[{"role":"user","content":"x"},"plain"]}',
            "[" * 100_000, '{"messages":[[]]}', "null", "3", '"x"', "{}"]
