@@ -57,13 +57,18 @@ def csv_first_rows(spark, sf_dir):
     return ranking.head(landing.read_zone_table(spark, root, "customers"), 10)
 
 
-@registry.query("SELECT event_id, user_id, value FROM events")
+@registry.query("SELECT event_id, user_id, value, event_type FROM events")
 def compacted_table(spark, sf_dir):
+    """Many small files per event type become few, each of one event type as before."""
     root = fresh_path(spark, "compact")
-    df = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    source = landing.write_table(df.repartition(16, "user_id"), root, "events")
-    landing.compact(spark, source, f"{root}/events_compact")
-    return landing.read_zone_table(spark, root, "events_compact")
+    df = table(spark, sf_dir, "events").select("event_id", "user_id", "value", "event_type")
+    source = f"{root}/events"
+    df.repartition(16, "user_id").write.partitionBy("event_type").parquet(source)
+    files = landing.compact(spark, source, f"{root}/events_compact")
+    merged = landing.read_zone_table(spark, root, "events_compact")
+    if len(merged.inputFiles()) > files or not all("/event_type=" in f for f in merged.inputFiles()):
+        raise AssertionError("files or partitions are not those asked for")
+    return merged
 
 
 @registry.query("""

@@ -9,6 +9,7 @@ shuffle.
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -113,20 +114,42 @@ def read_zone_table(spark: SparkSession, root: str, name: str,
     return spark.read.format(file_format).load(f"{root.rstrip('/')}/{name}")
 
 
-def compact(spark: SparkSession, source: str, target: str, target_file_mb: int = 256,
+def compact(spark: SparkSession, source: str, target: str, target_file_mb: float = 256,
             file_format: str = "parquet") -> int:
     """Rewrite a table into fewer files at a fresh path; returns the file count asked for.
 
-    Partitions are merged, not shuffled: the scan already packs small files together
-    and ``coalesce`` joins neighbours, so no row crosses the network.
+    Files of one partition folder (``name=value``) are merged with each other only, into as many
+    files as its bytes need, so the table stays partitioned and no file is much larger than
+    asked. Partitions are merged, not shuffled: the scan already packs small files together and
+    ``coalesce`` joins neighbours, so no row crosses the network.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(source)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    size = fs.getContentSummary(path).getLength()
-    files = max(1, -(-size // (target_file_mb * 1024 * 1024)))
-    spark.read.format(file_format).load(source).coalesce(int(files)).write.mode(
-        "errorifexists").format(file_format).save(target)
-    return int(files)
+    whole = spark.read.format(file_format).load(source)
+    sizes = _folder_bytes(spark, source)
+    names = [step.split("=")[0] for step in next(iter(sizes), "").split("/") if "=" in step]
+    packed, files = None, 0
+    for folder, size in sorted(sizes.items()):
+        count = max(1, math.ceil(size / (target_file_mb * 1024 * 1024)))
+        part = (spark.read.format(file_format).schema(whole.schema).option("basePath", source)
+                .load(f"{source.rstrip('/')}/{folder}")).coalesce(count)
+        packed, files = part if packed is None else packed.unionByName(part), files + count
+    (whole if packed is None else packed).write.mode("errorifexists").partitionBy(*names).format(
+        file_format).save(target)
+    return files
+
+
+def _folder_bytes(spark: SparkSession, source: str) -> dict[str, int]:
+    """Bytes of the data files per folder below a table, by the folder's relative path."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(source)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = fs.makeQualified(root).toString().rstrip("/")
+    found, sizes = fs.listFiles(spark._jvm.org.apache.hadoop.fs.Path(source), True), {}
+    while found.hasNext():
+        file = found.next()
+        path = file.getPath().toString()[len(root):].lstrip("/")
+        if not any(step.startswith(("_", ".")) and "=" not in step for step in path.split("/")):
+            folder = path.rpartition("/")[0]
+            sizes[folder] = sizes.get(folder, 0) + file.getLen()
+    return sizes
 
 
 def clear_zone(spark: SparkSession, root: str) -> list[str]:

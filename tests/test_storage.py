@@ -73,6 +73,21 @@ def test_compaction_merges_files(spark, tmp_path):
         landing.compact(spark, source, str(tmp_path / "few"))
 
 
+def test_compaction_keeps_partitions_and_bounds_files(spark, tmp_path):
+    df = spark.range(60_000).select(F.rand(3).alias("x"), F.when(F.col("id") < 55_000, "big").otherwise(
+        F.when(F.col("id") < 59_999, "a b=c")).alias("p"), F.lit(1).alias("q"))
+    df.repartition(12).write.partitionBy("p", "q").parquet(str(tmp_path / "many"))
+    (tmp_path / "many" / "_notes").write_text("no data")
+    mb = 0.1
+    files = landing.compact(spark, str(tmp_path / "many"), str(tmp_path / "few"), mb)
+    back = spark.read.parquet(str(tmp_path / "few"))
+    assert rows(back.groupBy("p", "q").count(), "count") == [(None, 1, 1), ("a b=c", 1, 4999), ("big", 1, 55_000)]
+    assert back.agg(F.sum("x")).first()[0] == pytest.approx(df.agg(F.sum("x")).first()[0])
+    found = list((tmp_path / "few").rglob("*.parquet"))
+    assert len(found) == files and max(f.stat().st_size for f in found) < 2 * mb * 2**20
+    assert len(list((tmp_path / "few" / "p=big" / "q=1").glob("*.parquet"))) > 3
+
+
 def test_clear_landing_zone_keeps_other_entries(spark, tmp_path):
     landing.write_table(frame(spark, "x int", (1,)), str(tmp_path), "t")
     (tmp_path / "notes").mkdir()
