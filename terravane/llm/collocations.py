@@ -4,16 +4,16 @@ Words are hashed from prefix polynomials over the bytes, phrases of 1 to 4 words
 polynomials over the word hashes, so every n-gram costs a few array operations. Counts are
 taken in two passes over the texts:
 
-1. words and word pairs are counted by fingerprint. Those that are frequent set a bit each in a
-   filter, of 16 bits for each but 32 MB at most.
+1. words and word pairs are counted by fingerprint. Those that are frequent set three bits each
+   in a filter, of 16 bits for each but 32 MB at most.
 2. Phrases whose words and word pairs all pass the filter are counted exactly, by 96-bit
-   fingerprints with the first and last occurrence as pointers (text, word number). A phrase can
-   only be frequent if all its parts are, so nothing is missed; what passes by chance only costs
-   a row.
+   fingerprints, with pointers to the first and last text that holds them (by the texts' hashes).
+   A phrase can only be frequent if all its parts are, so nothing is missed; what passes by
+   chance only costs a row.
 
-Only frequent phrases are then read from the texts, at both pointers. Where the two differ, or a
-pointer's text has another fingerprint, different phrases share a fingerprint, and the whole
-count is repeated with other polynomials.
+Only frequent phrases are then read, where their fingerprints occur in both texts. Where the two
+differ, or a text does not hold the fingerprint, different phrases share a fingerprint, and the
+whole count is repeated with other polynomials.
 
 A fingerprint includes the language. Occurrences are added up inside tasks before they are
 shuffled, so a very common phrase is one row per task.
@@ -40,8 +40,16 @@ NO_LANGUAGE = "und"
 #: Bits of the filter: 16 for each frequent word or word pair, at most 2^28 (32 MB).
 FILTER_BITS = 28
 _SEGMENT_BITS = 19
+#: Looks into the filter for each name.
+_LOOKS = 3
 #: Fingerprints held by a task before it adds them up.
-_HELD = 3 << 20
+_HELD = 2 << 20
+#: Phrases with their counts (40 bytes each) that a task holds before it sends them on.
+_COUNTED = 1 << 19
+#: Rows sent on at once.
+_SENT = 1 << 16
+#: Bytes of text that are fingerprinted at once; a single longer text is handled alone.
+_SLICE = 1 << 20
 
 _BREAK = byte_class((0x2E, 0x2E), (0x2C, 0x2C), (0x3B, 0x3B), (0x3A, 0x3A), (0x21, 0x21), (0x3F, 0x3F),
                     (0x0A, 0x0D))
@@ -108,6 +116,14 @@ def _run(sums: np.ndarray, at: np.ndarray, n: int, which: int) -> np.ndarray:
     return (sums[at + n] - sums[at]) * _powers(_BACK[which], len(sums))[at]
 
 
+#: Odd multipliers whose products' upper bits are the looks into the filter.
+_TURNS = (1, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D)
+
+
+def _turned(names: np.ndarray, turn: int) -> np.ndarray:
+    return names * np.uint64(_TURNS[turn])
+
+
 def _named(docs: DataFrame) -> DataFrame:
     """(key, lang, text): key names a text with its language, equal rows have equal keys."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE))
@@ -120,28 +136,28 @@ def pair_counts(docs: DataFrame, seed: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
-        def added() -> pa.RecordBatch:
+        def added() -> Iterator[pa.RecordBatch]:
             name, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.record_batch({"name": pa.array(name.view(np.int64)), "n": pa.array(n.astype(np.int64))})
+            yield from _batches({"name": name.view(np.int64), "n": n})
 
         for batch in batches:
-            for rows in slices(batch):
+            for rows in slices(batch, limit=_SLICE):
                 grams = Grams(rows.column("text"), rows.column("lang"), seed)
                 held += [grams.names(grams.starts(n), n) for n in (1, 2)]
                 if sum(map(len, held)) > _HELD:
-                    yield added()
+                    yield from added()
                     held = []
         if held:
-            yield added()
+            yield from added()
 
     return _named(docs).select("lang", "text").mapInArrow(count, "name long, n long").groupBy("name").agg(
         F.sum("n").alias("n"))
 
 
 def bit_filter(names: DataFrame, most_bits: int = FILTER_BITS) -> np.ndarray:
-    """A bit for each name, by its upper bits; as bytes.
+    """Three bits for each name, by hashes of it; as bytes.
 
-    16 bits for each name, rounded up to a power of two, at most 2^most_bits: with more names
+    16 bits of size for each name, rounded up to a power of two, at most 2^most_bits: with more names
     the filter passes more, but never stops one. It is made in segments of 64 KB; the segments
     that reach the driver are `2^most_bits / 8` bytes together at most, whatever the names.
     """
@@ -162,8 +178,13 @@ def bit_filter(names: DataFrame, most_bits: int = FILTER_BITS) -> np.ndarray:
         for segment, raw in made.items():
             yield pa.record_batch({"segment": pa.array([segment]), "raw": pa.array([raw.tobytes()], pa.binary())})
 
-    place = F.shiftrightunsigned("name", 64 - bits)
-    segments = names.select(place.alias("place")).distinct().repartition(
+    def looks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            name = batch.column("name").to_numpy().view(np.uint64)
+            place = np.concatenate([_turned(name, t) for t in range(_LOOKS)]) >> np.uint64(64 - bits)
+            yield pa.record_batch({"place": pa.array(place.view(np.int64))})
+
+    segments = names.select("name").mapInArrow(looks, "place long").distinct().repartition(
         F.shiftright("place", _SEGMENT_BITS)).mapInArrow(fill, "segment long, raw binary").collect()
     whole = np.zeros(1 << bits - 3, np.uint8)
     for s in segments:
@@ -173,15 +194,19 @@ def bit_filter(names: DataFrame, most_bits: int = FILTER_BITS) -> np.ndarray:
 
 
 def passes(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
-    place = names >> np.uint64(64 - (len(bits).bit_length() + 2))
-    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    ok = np.ones(len(names), bool)
+    for turn in range(_LOOKS):
+        left = np.flatnonzero(ok)
+        place = _turned(names[left], turn) >> np.uint64(64 - (len(bits).bit_length() + 2))
+        ok[left] = bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1
+    return ok
 
 
 def phrase_counts(docs: DataFrame, bits: np.ndarray, seed: int) -> DataFrame:
     """(name, check, size, n, low, high) of the phrases that pass the filter, and the languages.
 
-    low, high: the first and last occurrence, by (key, at). A phrase of size 0 stands for a
-    language; its count is that of all its words.
+    low, high: the smallest and largest key of a text that holds the phrase. A phrase of size 0
+    stands for a language; its count is that of all its words.
     """
     shared = docs.sparkSession.sparkContext.broadcast(bits)  # at most 2^FILTER_BITS bits
 
@@ -189,105 +214,96 @@ def phrase_counts(docs: DataFrame, bits: np.ndarray, seed: int) -> DataFrame:
         grams = Grams(rows.column("text"), rows.column("lang"), seed)
         key = rows.column("key").to_numpy()
         filled = np.flatnonzero(grams.words.counts)
-        first = grams.words.first[:-1]
         yield _table(mix(grams.language[filled]), np.zeros(len(filled), np.uint32), 0,
-                     grams.words.counts[filled], key[filled], np.zeros(len(filled), np.int64))
-        one = np.zeros(len(grams.words), bool)
+                     grams.words.counts[filled], key[filled])
+        one = passes(shared.value, grams.names(grams.starts(1), 1))
         two = np.zeros(len(grams.words), bool)
-        for n, kept in ((1, one), (2, two)):
-            at = grams.starts(n)
-            kept[at] = passes(shared.value, grams.names(at, n))
+        at = grams.starts(2)
+        at = at[one[at] & one[np.minimum(at + 1, len(one) - 1)]]
+        two[at] = passes(shared.value, grams.names(at, 2))
         for n in range(1, LONGEST + 1):
             at = grams.starts(n)
-            if n == 1:
-                at = at[one[at]]
-            else:
-                for i in range(n - 1):
-                    at = at[two[at + i]]
-                for i in range(n):
-                    at = at[one[at + i]]
-            row = grams.row[at]
-            yield _table(grams.names(at, n), grams.checks(at, n), n, np.ones(len(at), np.int64),
-                         key[row], at - first[row])
+            at = at[one[at]] if n == 1 else at[two[at]]
+            for i in range(1, n - 1):
+                at = at[two[at + i]]
+            yield _table(grams.names(at, n), grams.checks(at, n), n, 1, key[grams.row[at]])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        counted, fresh = np.zeros(0, _ROW), []
         for batch in batches:
-            for rows in slices(batch):
-                held += occurrences(rows)
-                if sum(map(len, held)) > _HELD // 4:
-                    yield _added(held)
-                    held = []
-        if any(map(len, held)):
-            yield _added(held)
+            for rows in slices(batch, limit=_SLICE):
+                fresh += occurrences(rows)
+                if sum(map(len, fresh)) > _COUNTED // 2:
+                    counted, fresh = _added([counted, *fresh]), []
+                    if len(counted) > _COUNTED:
+                        yield from _batches(counted)
+                        counted = counted[:0]
+        yield from _batches(_added([counted, *fresh]))
 
-    each = _named(docs).mapInArrow(
-        count, "name long, check int, size int, n long, low struct<key:long,at:int>, high struct<key:long,at:int>")
-    return each.groupBy("name", "check", "size").agg(
-        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return _named(docs).mapInArrow(
+        count, "name long, check int, size int, n long, low long, high long").groupBy(
+        "name", "check", "size").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
-_ROW = np.dtype([("name", "i8"), ("check", "i4"), ("size", "i4"), ("n", "i8"), ("key", "i8"), ("at", "i4")])
+_ROW = np.dtype([("name", "i8"), ("check", "i4"), ("size", "i4"), ("n", "i8"), ("low", "i8"), ("high", "i8")])
 
 
-def _table(name, check, size, n, key, at) -> np.ndarray:
+def _table(name, check, size, n, key) -> np.ndarray:
     out = np.empty(len(name), _ROW)
     out["name"], out["check"], out["size"] = name.view(np.int64), check.view(np.int32), size
-    out["n"], out["key"], out["at"] = n, key, at
+    out["n"], out["low"], out["high"] = n, key, key
     return out
 
 
-def _added(held: list[np.ndarray]) -> pa.RecordBatch:
-    """Rows of one phrase added up, with its first and last place; there is a row."""
+def _added(held: list[np.ndarray]) -> np.ndarray:
+    """Rows of one phrase added up."""
     rows = np.concatenate(held)
-    rows = rows[np.lexsort((rows["at"], rows["key"], rows["size"], rows["check"], rows["name"]))]
-    new = np.ones(len(rows), bool)
+    if not len(rows):
+        return rows
+    rows = rows[np.lexsort((rows["check"], rows["name"]))]
+    same = np.ones(len(rows) - 1, bool)
     for column in ("name", "check", "size"):
-        new[1:] &= rows[column][1:] == rows[column][:-1]
-    new[1:] = ~new[1:]
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(rows)) - 1
-    n = np.add.reduceat(rows["n"], first)
+        same &= rows[column][1:] == rows[column][:-1]
+    first = np.flatnonzero(np.append(True, ~same))
+    out = rows[first]
+    for column, add in (("n", np.add), ("low", np.minimum), ("high", np.maximum)):
+        out[column] = add.reduceat(rows[column], first)
+    return out
 
-    def place(at: np.ndarray) -> pa.StructArray:
-        return pa.StructArray.from_arrays([pa.array(rows["key"][at]), pa.array(rows["at"][at])], ["key", "at"])
 
-    head = rows[first]
-    return pa.record_batch({"name": pa.array(head["name"]), "check": pa.array(head["check"]),
-                            "size": pa.array(head["size"]), "n": pa.array(n),
-                            "low": place(first), "high": place(last)})
+def _batches(columns: np.ndarray | dict) -> Iterator[pa.RecordBatch]:
+    """A table in batches of a few MB, as a whole batch is held outside the heap by its reader."""
+    names = list(columns if isinstance(columns, dict) else columns.dtype.names)
+    for at in range(0, len(columns[names[0]]), _SENT):
+        yield pa.record_batch({c: pa.array(np.ascontiguousarray(columns[c][at:at + _SENT])) for c in names})
 
 
 def read_phrases(docs: DataFrame, counted: DataFrame, seed: int) -> DataFrame:
-    """(name, check, size, n, lang, phrase, ok): what stands at both pointers of each fingerprint.
+    """(name, check, size, n, lang, phrase, ok): each fingerprint as both its texts have it.
 
-    ok: the text there has the fingerprint. Pointers go to their texts, which move once; a text
+    ok: the text holds the fingerprint. Pointers go to their texts, which move once; a text
     gets at most as many as it has phrases.
     """
-    ends = counted.select("name", "check", "size", "n", F.explode(F.array_distinct(F.array("low", "high"))).alias("p"))
-    asked = ends.groupBy(F.col("p.key").alias("key")).agg(F.collect_list(
-        F.struct("name", "check", "size", "n", F.col("p.at").alias("at"))).alias("asked"))
+    ends = counted.select("name", "check", "size", "n", F.explode(F.array_distinct(F.array("low", "high"))).alias("key"))
+    asked = ends.groupBy("key").agg(F.collect_list(F.struct("name", "check", "size", "n")).alias("asked"))
     own = _named(docs).groupBy("key").agg(F.min(F.struct("lang", "text")).alias("t")).select(
         "key", "t.lang", "t.text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch):
+            for rows in slices(batch, limit=_SLICE):
                 grams = Grams(rows.column("text"), rows.column("lang"), seed)
                 column = rows.column("asked")
                 asked = pa.Table.from_struct_array(column.flatten())
-                name, check, size, at = (asked.column(c).to_numpy() for c in ("name", "check", "size", "at"))
+                name, check, size = (asked.column(c).to_numpy() for c in ("name", "check", "size"))
                 row = np.repeat(np.arange(rows.num_rows), column.value_lengths().to_numpy())
-                at = at + grams.words.first[row]
-                ok = (at + size <= grams.words.first[row + 1]) & (size > 0)
+                at = np.full(len(name), -1)
                 for n in range(1, LONGEST + 1):
-                    of = np.flatnonzero(ok & (size == n))
-                    ok[of] = (grams.names(at[of], n).view(np.int64) == name[of]) & (
-                        grams.checks(at[of], n).view(np.int32) == check[of]) & (grams.following[at[of]] >= n - 1)
-                whole = size == 0
-                ok[whole] = mix(grams.language[row[whole]]).view(np.int64) == name[whole]
-                phrase = [grams.phrase(a, n) if good else "" for a, n, good in zip(
-                    at.tolist(), size.tolist(), ok.tolist(), strict=True)]
+                    of = np.flatnonzero(size == n)
+                    at[of] = _found(grams, n, row[of], name[of], check[of])
+                whole = mix(grams.language[row]).view(np.int64) == name
+                ok = np.where(size == 0, whole, at >= 0)
+                phrase = [grams.phrase(a, n) if a >= 0 else "" for a, n in zip(at.tolist(), size.tolist(), strict=True)]
                 yield pa.record_batch({
                     "name": pa.array(name), "check": pa.array(check), "size": pa.array(size),
                     "n": asked.column("n").combine_chunks(), "lang": rows.column("lang").take(pa.array(row)),
@@ -297,6 +313,26 @@ def read_phrases(docs: DataFrame, counted: DataFrame, seed: int) -> DataFrame:
         read, "name long, check int, size int, n long, lang string, phrase string, ok boolean")
 
 
+def _found(grams: Grams, n: int, row: np.ndarray, name: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """A place of each asked (row, name, check) among the phrases of n words, -1 if it has none."""
+    at = grams.starts(n)
+    names = grams.names(at, n).view(np.int64)
+    known = np.unique(name)
+    code = np.minimum(np.searchsorted(known, names), max(len(known) - 1, 0))
+    asked = known[code] == names if len(known) else np.zeros(len(at), bool)
+    at, code = at[asked], code[asked]
+    places = grams.row[at] * len(known) + code
+    order = np.argsort(places, kind="stable")
+    places, at = places[order], at[order]
+    wanted = row * len(known) + np.searchsorted(known, name)
+    first = np.minimum(np.searchsorted(places, wanted), max(len(places) - 1, 0))
+    out = np.full(len(row), -1)
+    if len(places):
+        hit = (places[first] == wanted) & (grams.checks(at[first], n).view(np.int32) == check)
+        out[hit] = at[first[hit]]
+    return out
+
+
 def frequent_phrases(docs: DataFrame, *, least: int = LEAST_COUNT, filter_bits: int = FILTER_BITS,
                      tries: int = 8) -> DataFrame:
     """(lang, phrase, size, n): every phrase of 1 to 4 words with at least `least` occurrences.
