@@ -4,9 +4,9 @@ Words are hashed from prefix polynomials over the bytes, phrases of 1 to 4 words
 polynomials over the word hashes, so every n-gram costs a few array operations. Counts are
 taken in two passes over the texts:
 
-1. words and word pairs are counted by fingerprint. Those that are frequent set three bits each
-   in a filter, of 16 bits for each but 32 MB at most.
-2. Phrases whose words and word pairs all pass the filter are counted exactly, by 96-bit
+1. words, pairs and triples are counted by fingerprint. Those that are frequent set three bits
+   each in a filter, of 16 bits for each but 32 MB at most.
+2. Phrases whose words, pairs and triples all pass the filter are counted exactly, by 96-bit
    fingerprints, with pointers to the first and last text that holds them (by the texts' hashes).
    A phrase can only be frequent if all its parts are, so nothing is missed; what passes by
    chance only costs a row.
@@ -37,7 +37,9 @@ ABSORBED_PERCENT = 80
 TOP = 2000
 SCORE_SCALE = 2_000_000
 NO_LANGUAGE = "und"
-#: Bits of the filter: 16 for each frequent word or word pair, at most 2^28 (32 MB).
+#: Words of the longest phrases that the first pass counts.
+_SHORT = LONGEST - 1
+#: Bits of the filter: 16 for each frequent word, pair or triple, at most 2^28 (32 MB).
 FILTER_BITS = 28
 _SEGMENT_BITS = 19
 #: Looks into the filter for each name.
@@ -131,8 +133,8 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64(lang, text).alias("key"), lang.alias("lang"), text.alias("text"))
 
 
-def pair_counts(docs: DataFrame, seed: int) -> DataFrame:
-    """(name, n): occurrences of every word and every word pair, by 64-bit fingerprint."""
+def short_counts(docs: DataFrame, seed: int) -> DataFrame:
+    """(name, n): occurrences of every word, pair and triple, by 64-bit fingerprint."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
@@ -143,7 +145,7 @@ def pair_counts(docs: DataFrame, seed: int) -> DataFrame:
         for batch in batches:
             for rows in slices(batch, limit=_SLICE):
                 grams = Grams(rows.column("text"), rows.column("lang"), seed)
-                held += [grams.names(grams.starts(n), n) for n in (1, 2)]
+                held += [grams.names(grams.starts(n), n) for n in range(1, _SHORT + 1)]
                 if sum(map(len, held)) > _HELD:
                     yield from added()
                     held = []
@@ -216,16 +218,14 @@ def phrase_counts(docs: DataFrame, bits: np.ndarray, seed: int) -> DataFrame:
         filled = np.flatnonzero(grams.words.counts)
         yield _table(mix(grams.language[filled]), np.zeros(len(filled), np.uint32), 0,
                      grams.words.counts[filled], key[filled])
-        one = passes(shared.value, grams.names(grams.starts(1), 1))
-        two = np.zeros(len(grams.words), bool)
-        at = grams.starts(2)
-        at = at[one[at] & one[np.minimum(at + 1, len(one) - 1)]]
-        two[at] = passes(shared.value, grams.names(at, 2))
+        shorter = np.ones(len(grams.words) + 1, bool)  # phrases of n - 1 words, by their first word
         for n in range(1, LONGEST + 1):
             at = grams.starts(n)
-            at = at[one[at]] if n == 1 else at[two[at]]
-            for i in range(1, n - 1):
-                at = at[two[at + i]]
+            at = at[shorter[at] & shorter[at + 1]] if n > 1 else at
+            if n <= _SHORT:
+                at = at[passes(shared.value, grams.names(at, n))]
+                shorter = np.zeros(len(grams.words) + 1, bool)
+                shorter[at] = True
             yield _table(grams.names(at, n), grams.checks(at, n), n, 1, key[grams.row[at]])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,8 +349,8 @@ def frequent_phrases(docs: DataFrame, *, least: int = LEAST_COUNT, filter_bits:
         return spark.read.parquet(path)
 
     for seed in range(tries):
-        pairs = landed(pair_counts(docs, seed).where(F.col("n") >= least).select("name"), "frequent-pairs")
-        counted = phrase_counts(docs, bit_filter(pairs, filter_bits), seed)
+        short = landed(short_counts(docs, seed).where(F.col("n") >= least).select("name"), "frequent-short")
+        counted = phrase_counts(docs, bit_filter(short, filter_bits), seed)
         counted = landed(counted.where((F.col("n") >= least) | (F.col("size") == 0)), "phrase-counts")
         read = read_phrases(docs, counted, seed).groupBy("name", "check", "size").agg(
             F.min(F.struct("lang", "phrase")).alias("low"), F.max(F.struct("lang", "phrase")).alias("high"),
