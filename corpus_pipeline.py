@@ -25,7 +25,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies (Jaccard 0.8)."""
+    """The document with the smallest doc_id of each group of near copies.
+
+    SimHash fingerprints (op6's trie self-join), Jaccard 0.8 checked; bands of minima for the
+    pairs that the fingerprints miss.
+    """
     return near_copies.one_of_each(docs)
 
 

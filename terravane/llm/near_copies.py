@@ -1,10 +1,16 @@
-"""Near copies by exact Jaccard similarity of five-word shingles, found by banded minima.
+"""Near copies by SimHash, with an exact check of the Jaccard similarity of five-word shingles.
 
-Texts of similarity s agree in one minimum with probability s, so in all five of at least one
-of 25 bands with 1 - (1 - s^5)^25: 0.99995 at 0.8. Whatever shares a band is a candidate, and
-the shingle sets of both texts decide. Texts with equal sets are one node from the start.
+Fingerprints of five-word shingles are joined as in simhash: the trie self-join links those that
+differ in at most four bits, and what reaches each other is a group. The shingle sets of a group
+decide which of its texts are near copies. Texts with equal sets are one node from the start.
 
-The sets of a band meet in one task, which counts all intersections as products of 0/1 rows and
+Four bits find nearly all copies with small edits, but few at a similarity of 0.8 (some ten
+bits differ). The others come from bands of minima: texts of similarity s agree in one minimum
+with probability s, so in all five of at least one of 25 bands with 1 - (1 - s^5)^25: 0.99995
+at 0.8. Bands whose sets the fingerprints have joined already are left out.
+
+From here on, a group of linked fingerprints is a band like the others. The sets of a band meet
+in one task, which counts all intersections as products of 0/1 rows and
 returns one link per set at most, never pairs. A band of over BLOCK_SETS sets or BLOCK_SHINGLES
 shingles is dealt to random blocks of half that first. After that nearly all sets of a group of
 copies have one root; the sets of the band outside its largest group then meet all the others,
@@ -23,7 +29,7 @@ from pyspark.sql import functions as F
 
 from terravane import staging
 from terravane.llm.components import components
-from terravane.llm.simhash import Forest, rows_of_least
+from terravane.llm.simhash import ERRORS, Forest, fingerprints_of, link_edges, rows_of_least
 from terravane.llm.textbytes import RunHash, Words, combine, lower_ascii, mix, row_sums, slices, texts
 
 SHINGLE_WORDS = 5
@@ -85,7 +91,10 @@ def band_keys(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, tie, fp, n, keys) of every row; tie: hash of the text, fp: name of its set."""
+    """(doc_id, tie, fp, sim, n, keys) of every row.
+
+    tie: hash of the text, fp: name of its set, sim: its SimHash fingerprint.
+    """
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch):
@@ -99,13 +108,24 @@ def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
                 yield pa.record_batch({
                     "doc_id": rows.column("doc_id"), "tie": rows.column("tie"),
                     "fp": pa.array(set_names(values, first).view(np.int64)),
+                    "sim": pa.array(fingerprints_of(rows.column("text"), shingle).view(np.int64)),
                     "n": pa.array(size.astype(np.int64)),
                     "keys": pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64))),
                 })
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.xxhash64("text").alias("tie")).mapInArrow(
-        sketch, "doc_id long, tie long, fp long, n long, keys array<long>")
+        sketch, "doc_id long, tie long, fp long, sim long, n long, keys array<long>")
+
+
+def fingerprint_groups(prints: DataFrame, errors: int = ERRORS) -> DataFrame:
+    """prints (fp, sim, ...) with key: one for all fingerprints that reach each other.
+
+    They are linked as simhash.near_duplicates links them.
+    """
+    roots = components(link_edges(prints.select(F.col("sim").alias("fp")), errors))
+    return prints.join(roots, prints.sim == roots.node, "left").select(
+        *prints.columns, F.xxhash64(F.coalesce("root", "sim"), F.lit("fingerprints")).alias("key"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -226,11 +246,13 @@ def _rest(bands: DataFrame, roots: DataFrame, block_sets: int, block_shingles: i
 
 
 def near_copies(docs: DataFrame, *, shingle: int = SHINGLE_WORDS, similarity: float = SIMILARITY,
-                block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+                errors: int = ERRORS, bands: int = BANDS, block_sets: int = BLOCK_SETS,
+                block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """(fp, root, least): each different shingle set, its group and its first (doc_id, tie).
 
     Sets are in one group if a chain of pairs with at least `similarity` joins them. Wordless
-    texts are one set.
+    texts are one set. Pairs are sought among linked fingerprints and in the first `bands`
+    bands of minima.
     """
     spark = docs.sparkSession
 
@@ -241,20 +263,36 @@ def near_copies(docs: DataFrame, *, shingle: int = SHINGLE_WORDS, similarity: fl
 
     least = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "tie"))
     nodes = landed(_sketches(docs, shingle).groupBy("fp").agg(
-        least.alias("least"), F.min("n").alias("n"), F.min("keys").alias("keys")), "nodes")
-    rows = nodes.select("fp", "n", F.explode("keys").alias("key"))
+        least.alias("least"), F.min("n").alias("n"), F.min("keys").alias("keys"),
+        F.collect_set("sim").alias("sims")), "nodes")
+    prints = nodes.where("n > 0").select("fp", "n", F.explode("sims").alias("sim"))
+    rows = fingerprint_groups(prints, errors).select(
+        "fp", "n", "key", F.lit(True).alias("linked")).distinct().unionByName(
+        nodes.select("fp", "n", F.explode(F.slice("keys", 1, bands)).alias("key"), F.lit(False).alias("linked")))
+    rows = landed(rows, "band-rows")
     # bands of the same sets are one; two xors of hashes and the count name the sets of a band
     shared = rows.groupBy("key").agg(
         F.count("*").alias("c"), F.sum("n").alias("total"), F.bit_xor(F.xxhash64("fp")).alias("x"),
-        F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y")).where("c > 1")
-    shared = shared.groupBy("c", "total", "x", "y").agg(F.min("key").alias("key")).select(
-        "key", "c", "total")
-    bands = landed(rows.join(shared, "key").select("key", "fp", "c", "total"), "bands")
-    sets = landed(_sets(docs, nodes.join(bands.select("fp").distinct(), "fp", "left_semi"), shingle),
+        F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y"), F.max("linked").alias("linked")).where("c > 1")
+    shared = shared.groupBy("c", "total", "x", "y").agg(
+        F.min("key").alias("key"), F.max("linked").alias("linked")).select("key", "c", "total", "linked")
+    every = landed(rows.select("key", "fp").join(shared, "key").select("key", "fp", "c", "total", "linked"), "bands")
+    sets = landed(_sets(docs, nodes.join(every.select("fp").distinct(), "fp", "left_semi"), shingle),
                   "sets")
-    links = landed(_linked(_dealt(bands, block_sets, block_shingles), sets, similarity), "links")
+
+    def links_of(some: DataFrame) -> DataFrame:
+        return landed(_linked(_dealt(some, block_sets, block_shingles), sets, similarity), "links")
+
+    links = links_of(every.where("linked"))
     roots = components(links)
-    large = bands.where((F.col("c") > block_sets) | (F.col("total") > block_shingles))
+    others = every.where("not linked").join(roots, F.col("fp") == F.col("node"), "left")
+    apart = others.groupBy("key").agg(
+        F.min(F.coalesce("root", "fp")).alias("a"), F.max(F.coalesce("root", "fp")).alias("b")).where("a <> b")
+    more = links_of(every.join(apart, "key", "left_semi"))
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        roots = components(links)
+    large = every.where((F.col("c") > block_sets) | (F.col("total") > block_shingles))
     more = landed(_linked(_rest(large, roots, block_sets, block_shingles), sets, similarity), "links")
     if not more.isEmpty():
         roots = components(links.unionByName(more))

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terravane.llm import centroids, collocations, near_copies, queries, sharding
+from terravane.llm import centroids, collocations, near_copies, queries, sharding, simhash
 
 SF = "/root/testdata/sf0.001"
 EXTRA = ", _id int, _d int, key string, n int, size string, shard2 int, w int, range int, slot2 int"
@@ -272,6 +272,36 @@ def test_near_copies_of_odd_rows(odd):
     assert near_copies.one_of_each(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [1024, 4])
+def test_near_copies_by_fingerprints_alone(spark, block):
+    """Without bands, the pairs are those of similar sets in a group of linked fingerprints."""
+    random = np.random.default_rng(13)
+    texts = []
+    for group in range(40):
+        words = [f"g{group}w{x}" for x in random.integers(0, 900, 300)]
+        for changed in (0, 1, 2, 4, 12):  # five shingles each
+            other = list(words)
+            for at in np.linspace(9, 290, changed).astype(int):
+                other[at] = f"x{random.integers(10**9)}"
+            texts.append(" ".join(other))
+    texts += texts[:20] + [None, "", "a b", "a b a b a b", "a b a b a b a b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    linked = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, shingle=5).collect()}
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if linked[i] == linked[j] and both >= 0.8 * (len(sets[i]) + len(sets[j]) - both) - 1e-9:
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    kept = {r.doc_id for r in near_copies.one_of_each(
+        docs, bands=0, block_sets=block, block_shingles=block * 400).collect()}
+    assert kept == set(root)
+    # copies by fingerprints, and those that only the bands find
+    assert any(len(sets[i] ^ sets[root[i]]) for i in range(200))
+    assert len({r.doc_id for r in near_copies.one_of_each(docs).collect()}) < len(kept)
+
+
 def test_queries_are_whole(spark):
     docs, vectors = (spark.read.parquet(f"{SF}/{t}.parquet").count() for t in ("documents", "embeddings"))
     assert queries.op12_sharding(spark, SF).count() == docs
