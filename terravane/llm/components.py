@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terravane import staging
 
-#: Edges of a task at least, if there are more tasks than cores.
+#: Rows of a task, if that makes more tasks than cores; an edge is two, one for each direction.
 EDGES_PER_TASK = 1 << 16
 
 
