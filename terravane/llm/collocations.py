@@ -4,19 +4,22 @@ Words are hashed from prefix polynomials over the bytes, phrases of 1 to 4 words
 polynomials over the word hashes, so every n-gram costs a few array operations. Counts are
 taken in two passes over the texts:
 
-1. words, pairs and triples are counted by fingerprint. Those that are frequent set three bits
-   each in a filter, of 16 bits for each but 32 MB at most.
-2. Phrases whose words, pairs and triples all pass the filter are counted exactly, by 96-bit
-   fingerprints, with pointers to the first and last text that holds them (by the texts' hashes).
-   A phrase can only be frequent if all its parts are, so nothing is missed; what passes by
-   chance only costs a row.
+1. Words, pairs and triples are counted exactly, by 96-bit fingerprints, with the first and last of
+   256 blocks of texts that holds them (blocks go by the texts' hashes). The counts of some MB of
+   text go out packed, one row per hash range. Those that are frequent set three bits each in a
+   filter, of 16 bits for each but 32 MB at most, and in a second one together with their blocks.
+2. Phrases of four words whose words, pairs and triples all pass the filter are counted the same way,
+   with pointers to the first and last text that holds them (by the texts' hashes). Shorter ones
+   only get their pointers here, from the texts of their two blocks, so that no task sends all
+   the frequent phrases it meets. A phrase can only be frequent if all its parts are, so nothing
+   is missed; what passes by chance only costs a row.
 
 Only frequent phrases are then read, where their fingerprints occur in both texts. Where the two
 differ, or a text does not hold the fingerprint, different phrases share a fingerprint, and the
 whole count is repeated with other polynomials.
 
 A fingerprint includes the language. Occurrences are added up inside tasks before they are
-shuffled, so a very common phrase is one row per task.
+shuffled, so a very common phrase is sent once for some MB of text.
 """
 
 from __future__ import annotations
@@ -29,7 +32,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terravane import staging
-from terravane.llm.textbytes import RunHash, Words, byte_class, lower_ascii, mix, slices, texts
+from terravane.llm.ordering import pieces_for, text_bytes
+from terravane.llm.textbytes import (
+    RunHash,
+    Words,
+    byte_class,
+    lower_ascii,
+    mix,
+    pack_planes,
+    slices,
+    texts,
+    unpack_planes,
+)
 
 LONGEST = 4
 LEAST_COUNT = 30
@@ -39,13 +53,18 @@ SCORE_SCALE = 2_000_000
 NO_LANGUAGE = "und"
 #: Words of the longest phrases that the first pass counts.
 _SHORT = LONGEST - 1
-#: Bits of the filter: 16 for each frequent word, pair or triple, at most 2^28 (32 MB).
+#: Bits of a filter: 16 for each frequent word, pair or triple (or each of its blocks), at most 2^28 (32 MB).
 FILTER_BITS = 28
 _SEGMENT_BITS = 19
 #: Looks into the filter for each name.
 _LOOKS = 3
 #: Fingerprints held by a task before it adds them up.
 _HELD = 2 << 20
+#: Bytes of text for each hash range of the first pass, on average.
+RANGE_BYTES = 4 << 20
+#: A text's block: the upper 8 bits of its key, as a signed number like the key.
+_BLOCK_SHIFT = 56
+_CODEC = "zstd"
 #: Phrases with their counts (40 bytes each) that a task holds before it sends them on.
 _COUNTED = 1 << 19
 #: Rows sent on at once.
@@ -133,27 +152,91 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64(lang, text).alias("key"), lang.alias("lang"), text.alias("text"))
 
 
-def short_counts(docs: DataFrame, seed: int) -> DataFrame:
-    """(name, n): occurrences of every word, pair and triple, by 64-bit fingerprint."""
+#: Columns of the first pass; first, last: the smallest and largest block that holds the phrase.
+_SHORT_COLUMNS = {"name": np.uint64, "check": np.uint32, "n": np.int64, "first": np.int8, "last": np.int8}
+
+
+def _short_added(name, check, n, first, last) -> list[np.ndarray]:
+    """Rows of one phrase added up, ascending by name."""
+    order = np.argsort(name)
+    name, check = name[order], check[order]
+    if ((name[1:] == name[:-1]) & (check[1:] != check[:-1])).any():  # phrases that share a name
+        inner = np.lexsort((check, name))
+        order, name, check = order[inner], name[inner], check[inner]
+    start = np.flatnonzero(np.append(True, (name[1:] != name[:-1]) | (check[1:] != check[:-1])))
+    return [name[start], check[start], np.add.reduceat(n[order], start),
+            np.minimum.reduceat(first[order], start), np.maximum.reduceat(last[order], start)]
+
+
+def _packed(columns: list[np.ndarray], ranges: int) -> Iterator[pa.RecordBatch]:
+    """One row for each hash range: names as differences, last blocks as distances from the first."""
+    name, check, n, first, last = columns
+    edges = np.array([(2**64 * i) // ranges for i in range(1, ranges)], np.uint64)
+    cuts = [0, *np.searchsorted(name, edges).tolist(), len(name)]
+    columns = name, check, n, first, last - first
+    for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        if b > a:
+            part = [c[a:b] for c in columns]
+            part[0] = np.diff(part[0], prepend=np.uint64(0))
+            yield pa.record_batch({"part": pa.array([i], pa.int32()), "size": pa.array([b - a], pa.int64())} | {
+                k: pa.array([pa.compress(pack_planes(c), codec=_CODEC, asbytes=True)], pa.binary())
+                for k, c in zip(_SHORT_COLUMNS, part, strict=True)})
+
+
+def _unpacked(table: pa.Table) -> list[np.ndarray]:
+    sizes = table.column("size").to_pylist()
+    name, check, n, first, last = ([
+        unpack_planes(pa.decompress(raw, size * np.dtype(kind).itemsize, codec=_CODEC, asbytes=True), kind)
+        for raw, size in zip(table.column(k).to_pylist(), sizes, strict=True)] for k, kind in _SHORT_COLUMNS.items())
+    columns = [np.concatenate(c) for c in ([np.cumsum(x, dtype=np.uint64) for x in name], check, n, first, last)]
+    columns[4] += columns[3]
+    return columns
+
+
+def short_counts(docs: DataFrame, seed: int, least: int, *, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(name, check, n, first, last) of every word, pair and triple with at least `least` occurrences.
+
+    first, last: the smallest and largest block of a text that holds it. A task sends the counts
+    of some MB of text, one row per hash range; a range is added up at once.
+    """
+    ranges = pieces_for(text_bytes(docs), range_bytes)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple] = []
 
         def added() -> Iterator[pa.RecordBatch]:
-            name, n = np.unique(np.concatenate(held), return_counts=True)
-            yield from _batches({"name": name.view(np.int64), "n": n})
+            name, check, block = (np.concatenate(c) for c in zip(*held, strict=True))
+            if len(name):
+                yield from _packed(_short_added(name, check, np.ones(len(name), np.int64), block, block), ranges)
 
         for batch in batches:
             for rows in slices(batch, limit=_SLICE):
                 grams = Grams(rows.column("text"), rows.column("lang"), seed)
-                held += [grams.names(grams.starts(n), n) for n in range(1, _SHORT + 1)]
-                if sum(map(len, held)) > _HELD:
+                block = (rows.column("key").to_numpy() >> _BLOCK_SHIFT).astype(np.int8)
+                for at, n in ((grams.starts(n), n) for n in range(1, _SHORT + 1)):
+                    held.append((grams.names(at, n), grams.checks(at, n), block[grams.row[at]]))
+                if sum(len(h[0]) for h in held) > _HELD:
                     yield from added()
                     held = []
         if held:
             yield from added()
 
-    return _named(docs).select("lang", "text").mapInArrow(count, "name long, n long").groupBy("name").agg(
-        F.sum("n").alias("n"))
+    def add_up(table: pa.Table) -> pa.Table:
+        columns = _short_added(*_unpacked(table))
+        kept = np.flatnonzero(columns[2] >= least)
+        name, check, n, first, last = (c[kept] for c in columns)
+        return pa.table({"name": name.view(np.int64), "check": check.view(np.int32), "n": n,
+                         "first": first, "last": last})
+
+    return _named(docs).mapInArrow(
+        count, "part int, size long, name binary, check binary, n binary, first binary, last binary").groupBy(
+        "part").applyInArrow(add_up, "name long, check int, n long, first byte, last byte")
+
+
+def ends_of(short: DataFrame) -> DataFrame:
+    """(name): each name with its first and its last block in the upper bits."""
+    blocks = short.select("name", F.explode(F.array_distinct(F.array("first", "last"))).alias("block"))
+    return blocks.select(F.col("name").bitwiseXOR(F.shiftleft(F.col("block").cast("long"), _BLOCK_SHIFT)).alias("name"))
 
 
 def bit_filter(names: DataFrame, most_bits: int = FILTER_BITS) -> np.ndarray:
@@ -204,17 +287,19 @@ def passes(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
     return ok
 
 
-def phrase_counts(docs: DataFrame, bits: np.ndarray, seed: int) -> DataFrame:
-    """(name, check, size, n, low, high) of the phrases that pass the filter, and the languages.
+_PHRASES = "name long, check int, size int, n long, low long, high long"
 
-    low, high: the smallest and largest key of a text that holds the phrase. A phrase of size 0
-    stands for a language; its count is that of all its words.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(bits)  # at most 2^FILTER_BITS bits
+
+def phrase_rows(docs: DataFrame, bits: np.ndarray, seed: int, ends: np.ndarray | None = None) -> DataFrame:
+    """Rows of phrase_counts as the tasks send them."""
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(bits)  # at most 2^FILTER_BITS bits
+    shared_ends = None if ends is None else context.broadcast(ends)
 
     def occurrences(rows: pa.RecordBatch) -> Iterator[np.ndarray]:
         grams = Grams(rows.column("text"), rows.column("lang"), seed)
         key = rows.column("key").to_numpy()
+        block = (key >> _BLOCK_SHIFT << _BLOCK_SHIFT).view(np.uint64)
         filled = np.flatnonzero(grams.words.counts)
         yield _table(mix(grams.language[filled]), np.zeros(len(filled), np.uint32), 0,
                      grams.words.counts[filled], key[filled])
@@ -222,11 +307,16 @@ def phrase_counts(docs: DataFrame, bits: np.ndarray, seed: int) -> DataFrame:
         for n in range(1, LONGEST + 1):
             at = grams.starts(n)
             at = at[shorter[at] & shorter[at + 1]] if n > 1 else at
+            names = grams.names(at, n)
             if n <= _SHORT:
-                at = at[passes(shared.value, grams.names(at, n))]
+                ok = passes(shared.value, names)
+                at, names = at[ok], names[ok]
                 shorter = np.zeros(len(grams.words) + 1, bool)
                 shorter[at] = True
-            yield _table(grams.names(at, n), grams.checks(at, n), n, 1, key[grams.row[at]])
+                if shared_ends is not None:
+                    ok = passes(shared_ends.value, names ^ block[grams.row[at]])
+                    at, names = at[ok], names[ok]
+            yield _table(names, grams.checks(at, n), n, 1, key[grams.row[at]])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted, fresh = np.zeros(0, _ROW), []
@@ -240,9 +330,19 @@ def phrase_counts(docs: DataFrame, bits: np.ndarray, seed: int) -> DataFrame:
                         counted = counted[:0]
         yield from _batches(_added([counted, *fresh]))
 
-    return _named(docs).mapInArrow(
-        count, "name long, check int, size int, n long, low long, high long").groupBy(
-        "name", "check", "size").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return _named(docs).mapInArrow(count, _PHRASES)
+
+
+def phrase_counts(docs: DataFrame, bits: np.ndarray, seed: int, ends: np.ndarray | None = None) -> DataFrame:
+    """(name, check, size, n, low, high) of the phrases that pass the filter, and the languages.
+
+    low, high: the smallest and largest key of a text that holds the phrase. A phrase of size 0
+    stands for a language; its count is that of all its words. With `ends`, the filter of the
+    names with their blocks, shorter phrases than the longest count only in texts of their first
+    and last block: low and high stay the same, n is not the whole count.
+    """
+    return phrase_rows(docs, bits, seed, ends).groupBy("name", "check", "size").agg(
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 _ROW = np.dtype([("name", "i8"), ("check", "i4"), ("size", "i4"), ("n", "i8"), ("low", "i8"), ("high", "i8")])
@@ -349,9 +449,14 @@ def frequent_phrases(docs: DataFrame, *, least: int = LEAST_COUNT, filter_bits:
         return spark.read.parquet(path)
 
     for seed in range(tries):
-        short = landed(short_counts(docs, seed).where(F.col("n") >= least).select("name"), "frequent-short")
-        counted = phrase_counts(docs, bit_filter(short, filter_bits), seed)
-        counted = landed(counted.where((F.col("n") >= least) | (F.col("size") == 0)), "phrase-counts")
+        short = landed(short_counts(docs, seed, least), "frequent-short")
+        counted = phrase_counts(docs, bit_filter(short, filter_bits), seed, bit_filter(ends_of(short), filter_bits))
+        # the first pass has the counts of shorter phrases; what it has not is not frequent
+        counted = counted.where(F.col("size").between(1, _SHORT) | (F.col("n") >= least) | (F.col("size") == 0))
+        counted = counted.join(short.select("name", "check", F.col("n").alias("whole")), ["name", "check"], "left").where(
+            F.col("whole").isNotNull() | ~F.col("size").between(1, _SHORT)).select("name", "check", "size", F.when(
+                F.col("size").between(1, _SHORT), F.col("whole")).otherwise(F.col("n")).alias("n"), "low", "high")
+        counted = landed(counted, "phrase-counts")
         read = read_phrases(docs, counted, seed).groupBy("name", "check", "size").agg(
             F.min(F.struct("lang", "phrase")).alias("low"), F.max(F.struct("lang", "phrase")).alias("high"),
             F.max("n").alias("n"), F.min("ok").alias("ok"))

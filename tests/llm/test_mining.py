@@ -210,6 +210,31 @@ def test_filter_stops_no_name(spark):
     assert collocations.passes(bits, random.integers(0, 2**64, 20_000, dtype=np.uint64)).mean() < 0.01
 
 
+def test_no_task_sends_all_frequent_phrases(spark):
+    """Rows of the second pass follow the phrases, not phrases times tasks; pointers and counts stay."""
+    texts = [(" ".join(f"w{(7 * i + j) % 150}" for j in range(150)) + f", u{i}", "en") for i in range(800)]
+    docs = spark.createDataFrame(texts, "text string, lang string").repartition(40).cache()
+    short = collocations.short_counts(docs, 0, 30, range_bytes=20_000).cache()
+    bits, ends = collocations.bit_filter(short), collocations.bit_filter(collocations.ends_of(short))
+    plain, pointed = (collocations.phrase_counts(docs, bits, 0, e).where("size between 1 and 3").select(
+        "name", "check", "n", "low", "high").join(short.select("name", "check", F.col("n").alias("whole")),
+                                                  ["name", "check"]).collect() for e in (None, ends))
+    assert len(plain) == 450 and all(r.n == r.whole for r in plain)
+    assert {(r.name, r.check, r.whole, r.low, r.high) for r in plain} == {
+        (r.name, r.check, r.whole, r.low, r.high) for r in pointed}
+    before, after = (collocations.phrase_rows(docs, bits, 0, e).where("size between 1 and 3").count()
+                     for e in (None, ends))
+    assert before >= 40 * 450 and after < before / 3
+
+
+def test_phrases_that_share_a_name_stay_apart():
+    name, check = np.array([7, 9, 7, 7, 9], np.uint64), np.array([1, 4, 2, 1, 4], np.uint32)
+    block = np.array([3, -128, 0, -5, 127], np.int8)
+    got = collocations._short_added(name, check, np.array([1, 2, 3, 4, 5]), block, block)
+    assert [tuple(map(int, r)) for r in zip(*got, strict=True)] == [
+        (7, 1, 5, -5, 3), (7, 2, 3, 0, 0), (9, 4, 7, -128, 127)]
+
+
 # ---- near copies --------------------------------------------------------------------------
 
 def shingles(text):
