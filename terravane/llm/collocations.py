@@ -6,7 +6,7 @@ taken in two passes over the texts:
 
 1. Words, pairs and triples are counted exactly, by 96-bit fingerprints, with the first and last of
    256 blocks of texts that holds them (blocks go by the texts' hashes). The counts of some MB of
-   text go out packed, one row per hash range. Those that are frequent set three bits each in a
+   text go out as bytes, one row per hash range. Those that are frequent set three bits each in a
    filter, of 16 bits for each but 32 MB at most, and in a second one together with their blocks.
 2. Phrases of four words whose words, pairs and triples all pass the filter are counted the same way,
    with pointers to the first and last text that holds them (by the texts' hashes). Shorter ones
@@ -33,17 +33,7 @@ from pyspark.sql import functions as F
 
 from terravane import staging
 from terravane.llm.ordering import pieces_for, text_bytes
-from terravane.llm.textbytes import (
-    RunHash,
-    Words,
-    byte_class,
-    lower_ascii,
-    mix,
-    pack_planes,
-    slices,
-    texts,
-    unpack_planes,
-)
+from terravane.llm.textbytes import RunHash, Words, byte_class, lower_ascii, mix, slices, texts
 
 LONGEST = 4
 LEAST_COUNT = 30
@@ -61,10 +51,9 @@ _LOOKS = 3
 #: Fingerprints held by a task before it adds them up.
 _HELD = 2 << 20
 #: Bytes of text for each hash range of the first pass, on average.
-RANGE_BYTES = 4 << 20
+RANGE_BYTES = 8 << 20
 #: A text's block: the upper 8 bits of its key, as a signed number like the key.
 _BLOCK_SHIFT = 56
-_CODEC = "zstd"
 #: Phrases with their counts (40 bytes each) that a task holds before it sends them on.
 _COUNTED = 1 << 19
 #: Rows sent on at once.
@@ -152,10 +141,6 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64(lang, text).alias("key"), lang.alias("lang"), text.alias("text"))
 
 
-#: Columns of the first pass; first, last: the smallest and largest block that holds the phrase.
-_SHORT_COLUMNS = {"name": np.uint64, "check": np.uint32, "n": np.int64, "first": np.int8, "last": np.int8}
-
-
 def _short_added(name, check, n, first, last) -> list[np.ndarray]:
     """Rows of one phrase added up, ascending by name."""
     order = np.argsort(name)
@@ -168,29 +153,40 @@ def _short_added(name, check, n, first, last) -> list[np.ndarray]:
             np.minimum.reduceat(first[order], start), np.maximum.reduceat(last[order], start)]
 
 
-def _packed(columns: list[np.ndarray], ranges: int) -> Iterator[pa.RecordBatch]:
-    """One row for each hash range: names as differences, last blocks as distances from the first."""
+#: Columns of the first pass as they are sent, and which of their bytes go together: those that are mostly alike
+#: stand apart from the others, as that compresses.
+_SENT_AS = {"name": np.uint64, "check": np.uint32, "n": np.uint32, "first": np.int8, "span": np.int8}
+_BYTES = (("name", 0, 7), ("name", 7, 8), ("check", 0, 4), ("n", 0, 1), ("n", 1, 4), ("first", 0, 1), ("span", 0, 1))
+_PACKED = "part int, " + ", ".join(f"{k}{a} binary" for k, a, _ in _BYTES)
+
+
+def _packed(columns: list[np.ndarray], edges: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row for each hash range with names (ascending), in batches of a few MB."""
     name, check, n, first, last = columns
-    edges = np.array([(2**64 * i) // ranges for i in range(1, ranges)], np.uint64)
-    cuts = [0, *np.searchsorted(name, edges).tolist(), len(name)]
-    columns = name, check, n, first, last - first
-    for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-        if b > a:
-            part = [c[a:b] for c in columns]
-            part[0] = np.diff(part[0], prepend=np.uint64(0))
-            yield pa.record_batch({"part": pa.array([i], pa.int32()), "size": pa.array([b - a], pa.int64())} | {
-                k: pa.array([pa.compress(pack_planes(c), codec=_CODEC, asbytes=True)], pa.binary())
-                for k, c in zip(_SHORT_COLUMNS, part, strict=True)})
+    raw = {k: np.ascontiguousarray(c, _SENT_AS[k]).view(np.uint8).reshape(len(name), -1) for k, c in zip(
+        _SENT_AS, (name, check, n, first, last - first), strict=True)}
+    cuts = np.concatenate([[0], np.searchsorted(name, edges), [len(name)]])
+    parts = np.flatnonzero(np.diff(cuts))
+    step = max(1, len(parts) * 4 * _SENT // len(name))
+    for i in range(0, len(parts), step):
+        part = parts[i:i + step]
+        ends = np.append(cuts[part[0]], cuts[part + 1])
+        batch = {"part": pa.array(part.astype(np.int32))}
+        for k, a, b in _BYTES:
+            offsets = ((ends - ends[0]) * (b - a)).astype(np.int32)
+            body = np.ascontiguousarray(raw[k][ends[0]:ends[-1], a:b])
+            batch[f"{k}{a}"] = pa.Array.from_buffers(pa.binary(), len(part), [
+                None, pa.py_buffer(offsets), pa.py_buffer(body)])
+        yield pa.record_batch(batch)
 
 
 def _unpacked(table: pa.Table) -> list[np.ndarray]:
-    sizes = table.column("size").to_pylist()
-    name, check, n, first, last = ([
-        unpack_planes(pa.decompress(raw, size * np.dtype(kind).itemsize, codec=_CODEC, asbytes=True), kind)
-        for raw, size in zip(table.column(k).to_pylist(), sizes, strict=True)] for k, kind in _SHORT_COLUMNS.items())
-    columns = [np.concatenate(c) for c in ([np.cumsum(x, dtype=np.uint64) for x in name], check, n, first, last)]
-    columns[4] += columns[3]
-    return columns
+    raw: dict[str, np.ndarray] = {}
+    for k, a, b in _BYTES:
+        body = np.frombuffer(b"".join(table.column(f"{k}{a}").to_pylist()), np.uint8).reshape(-1, b - a)
+        raw.setdefault(k, np.empty((len(body), np.dtype(_SENT_AS[k]).itemsize), np.uint8))[:, a:b] = body
+    name, check, n, first, span = (raw[k].view(kind).ravel() for k, kind in _SENT_AS.items())
+    return [name, check, n.astype(np.int64), first, first + span]
 
 
 def short_counts(docs: DataFrame, seed: int, least: int, *, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -200,6 +196,7 @@ def short_counts(docs: DataFrame, seed: int, least: int, *, range_bytes: int = R
     of some MB of text, one row per hash range; a range is added up at once.
     """
     ranges = pieces_for(text_bytes(docs), range_bytes)
+    edges = np.array([(2**64 * i) // ranges for i in range(1, ranges)], np.uint64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -207,7 +204,7 @@ def short_counts(docs: DataFrame, seed: int, least: int, *, range_bytes: int = R
         def added() -> Iterator[pa.RecordBatch]:
             name, check, block = (np.concatenate(c) for c in zip(*held, strict=True))
             if len(name):
-                yield from _packed(_short_added(name, check, np.ones(len(name), np.int64), block, block), ranges)
+                yield from _packed(_short_added(name, check, np.ones(len(name), np.int64), block, block), edges)
 
         for batch in batches:
             for rows in slices(batch, limit=_SLICE):
@@ -228,9 +225,8 @@ def short_counts(docs: DataFrame, seed: int, least: int, *, range_bytes: int = R
         return pa.table({"name": name.view(np.int64), "check": check.view(np.int32), "n": n,
                          "first": first, "last": last})
 
-    return _named(docs).mapInArrow(
-        count, "part int, size long, name binary, check binary, n binary, first binary, last binary").groupBy(
-        "part").applyInArrow(add_up, "name long, check int, n long, first byte, last byte")
+    return _named(docs).mapInArrow(count, _PACKED).groupBy("part").applyInArrow(
+        add_up, "name long, check int, n long, first byte, last byte")
 
 
 def ends_of(short: DataFrame) -> DataFrame:
