@@ -225,7 +225,8 @@ def short_counts(docs: DataFrame, seed: int, least: int, *, range_bytes: int = R
         return pa.table({"name": name.view(np.int64), "check": check.view(np.int32), "n": n,
                          "first": first, "last": last})
 
-    return _named(docs).mapInArrow(count, _PACKED).groupBy("part").applyInArrow(
+    # as many tasks as ranges, so that a task reads a few of them whatever the input
+    return _named(docs).mapInArrow(count, _PACKED).repartition(ranges, "part").groupBy("part").applyInArrow(
         add_up, "name long, check int, n long, first byte, last byte")
 
 
