@@ -109,10 +109,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
         found.startswith(F.col("gram")) & F.col("gram").startswith(found))
     side = F.broadcast(side) if small else side.hint("merge")
     hits = probes.join(side, same, "left").where("gram is not null or at < 0")
+    # the words stay behind: beyond 128 texts a task's aggregation holds its input rows until they are
+    # sorted, and each hit would hold all words of its text once more
+    hits = hits.select("doc_id", "text_hash", "items", F.when(F.col("at") < 0, F.size("w")).alias("n_words"),
+                       F.when(F.col("at") >= 0, F.struct("at", "length")).alias("span"))
     return hits.groupBy("doc_id", "text_hash").agg(
-        F.count(F.when(F.col("at") < 0, 1)).alias("copies"),  # one such probe per row
-        F.max(F.when(F.col("at") < 0, F.size("w"))).cast("long").alias("n_words"),
-        F.array_sort(F.collect_set(F.when(F.col("at") >= 0, F.struct("at", "length")))).alias("spans"),
+        F.count("n_words").alias("copies"),  # one such probe per row
+        F.max("n_words").cast("long").alias("n_words"),
+        F.array_sort(F.collect_set("span")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
 
 

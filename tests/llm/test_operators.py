@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from tests.helpers import plan
 from tests.oracle import compare, connect
 from terravane.llm import (
     chat,
@@ -301,6 +302,16 @@ def test_decontamination(spark, odd, none, limit):
     assert clean.count() == sum(not brute_hits(t, items)[1] for _, t in TEXTS)
 
 
+@pytest.mark.parametrize("limit", [1 << 25, 0])
+def test_decontamination_groups_without_the_words(spark, odd, limit):
+    """A task's aggregation holds its input rows, so none of them carries the words of its text."""
+    bench = spark.createDataFrame([(1, "Four FIVE")], "item_id long, text string")
+    text = plan(decontaminate.report(odd, bench, broadcast_bytes=limit))
+    grouped = [columns.split(", ") for columns in re.findall(
+        r"HashAggregate *\nInput \[\d+\]: \[(doc_id#[^\]]*)\]", text)]
+    assert grouped and all(c.partition("#")[0] not in ("w", "text") for columns in grouped for c in columns)
+
+
 def test_mixing(spark, odd, none):
     got = mixing.taken_words(odd).collect()
     assert len(got) == len(TEXTS)
