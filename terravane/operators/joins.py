@@ -70,7 +70,7 @@ def lookup_rejects(df: DataFrame, dimension: DataFrame, key: str, dim_key: str)
 def inner_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                match_nulls: bool = False, suffixes: tuple[str, str] = ("_x", "_y"),
                hot_share: float | None = None, salts: int = 32,
-               null_salts: int = 1) -> DataFrame:
+               null_salts: int = 1, block: int = 0, parts: int = 1) -> DataFrame:
     """Many-to-many inner equi-join with suffixes for clashing columns.
 
     ``match_nulls`` lets missing keys pair with each other. Columns clash when their
@@ -79,6 +79,10 @@ def inner_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     than that share of the left rows (at most ``1 / hot_share`` keys can, which bounds
     the broadcast list of hot keys). ``null_salts`` deals the left rows with a missing key
     out to so many parts, if missing keys pair; their partners are copied to each part.
+
+    ``block`` is for keys with many rows on both sides, whose pairs far outnumber the rows: up
+    to so many left rows of a key are joined as one, see ``_block_join``. ``parts`` then deals the
+    left rows of every key out to so many groups; the right rows are copied to each.
     """
     keys = list(keys)
     folded = {k.lower() for k in keys}
@@ -89,6 +93,10 @@ def inner_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
         {c: c + suffixes[1] for c in right.columns if c.lower() in clash}
         | {k: f"_right_{k}" for k in keys})
     output = left.columns + [c for c in right.columns if not c.startswith("_right_")]
+    if block:
+        if hot_share is not None or null_salts > 1:
+            raise ValueError("block deals out by parts only")
+        return _block_join(left, right, keys, match_nulls, block, parts).select(*output)
 
     def pairs(a: str, b: str) -> Column:
         return F.col(a).eqNullSafe(F.col(b)) if match_nulls else F.col(a) == F.col(b)
@@ -103,6 +111,44 @@ def inner_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(right, reduce(lambda a, b: a & b, condition), "inner").select(*output)
 
 
+def _block_join(left: DataFrame, right: DataFrame, keys: list[str], match_nulls: bool,
+                block: int, parts: int) -> DataFrame:
+    """The pairs of both sides, in an order that files can hold in few bytes.
+
+    The tasks follow ``spark.sql.shuffle.partitions`` and not the bytes of the two sides, which say
+    nothing of their pairs. The left rows of a key and part lie in blocks; a right row meets the
+    rows of a block one after the other. So the values of the right row come in runs, and those
+    of the block again and again, close together. Which rows share a block does not change the
+    pairs, and blocks are made in the task that joins them. Memory holds one block, and the right
+    rows of one key and part.
+    """
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(df: DataFrame, prefix: str, part: Column) -> DataFrame:
+        names = [f"{prefix}{k}" for k in keys]
+        if not match_nulls:
+            df = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in names]))
+        # within a struct, missing values equal each other; the join then needs no other key
+        key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(names)])
+        if parts > 1:
+            df = df.withColumn(f"{prefix}_part", part)
+        by = [key, *([F.col(f"{prefix}_part")] if parts > 1 else [])]
+        return df.repartition(tasks, *by).withColumn(f"{prefix}_key", key)
+
+    groups = ["_key", "_part"] if parts > 1 else ["_key"]
+    place = F.monotonically_increasing_id()  # of the row in its task
+    blocks = (dealt(left, "", _row_salt(left, parts))
+              .select(*groups, F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("_row"))
+              .sortWithinPartitions(*groups).groupBy(*groups, F.floor(place / block).alias("_block"))
+              .agg(F.collect_list("_row").alias("_rows")))
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))
+    others = dealt(right, "_right_", F.explode(every)).hint("merge")
+    same = [F.col(c) == F.col(f"_right_{c}") for c in groups]
+    values = [F.col(f"`{c}`") for c in right.columns]
+    return blocks.join(others, reduce(lambda a, b: a & b, same), "inner").select(
+        *values, F.explode("_rows").alias("_row")).select("_row.*", *values)
+
+
 def _row_salt(df: DataFrame, salts: int) -> Column:
     """A number below ``salts`` for each row, the same again if its task is recomputed.
 

@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from table_queries import QUERIES
 from terravane import dimensions, staging
 from terravane.operators import (
     aggregates,
@@ -114,6 +115,44 @@ def test_salted_join_equals_plain_join(spark, match_nulls):
     assert rows(nulls, "a", "b") == rows(plain, "a", "b")
 
 
+@pytest.mark.parametrize("match_nulls", [True, False])
+@pytest.mark.parametrize("parts", [1, 4])
+def test_join_in_blocks_equals_plain_join(spark, match_nulls, parts):
+    """With keys of two kinds, missing and repeated ones, equal rows and clashing columns."""
+    left = spark.range(400).select(
+        F.when(F.col("id") % 7 != 0, F.col("id") % 5).cast("int").alias("k"),
+        F.when(F.col("id") % 11 != 0, F.col("id") % 3).alias("part"), (F.col("id") % 50).alias("a"), F.lit("l").alias("X"))
+    right = spark.range(90).select(
+        F.when(F.col("id") % 8 != 0, F.col("id") % 6).alias("k"),
+        F.when(F.col("id") % 9 != 0, F.col("id") % 4).alias("part"), (F.col("id") % 20).alias("b"), F.lit("r").alias("x"))
+    for keys in (["k"], ["part", "k"]):
+        plain = joins.inner_join(left, right, keys, match_nulls)
+        for block in (3, 1000):
+            blocks = joins.inner_join(left, right, keys, match_nulls, block=block, parts=parts)
+            assert blocks.columns == plain.columns and blocks.dtypes == plain.dtypes
+            assert sorted(map(str, blocks.collect())) == sorted(map(str, plain.collect()))
+        assert joins.inner_join(left.limit(0), right, keys, match_nulls, block=3, parts=parts).count() == 0
+
+
+def sides(spark, folder, customers, suppliers, nations):
+    """Tables of one file each, whose rows share few nations."""
+    spark.range(customers).select(
+        F.col("id").alias("c_custkey"), (F.col("id") % nations).cast("int").alias("c_nationkey"),
+        (F.col("id") * 0.5).alias("c_acctbal")).coalesce(1).write.parquet(f"{folder}/customer.parquet")
+    spark.range(suppliers).select(
+        F.col("id").alias("s_suppkey"), (F.col("id") % nations).cast("int").alias("s_nationkey"),
+        (F.col("id") * 0.25).alias("s_acctbal")).coalesce(1).write.parquet(f"{folder}/supplier.parquet")
+    return str(folder)
+
+
+def test_pairs_of_few_keys_are_dealt_to_all_tasks(spark, tmp_path):
+    """Small tables with many pairs: neither their bytes nor their files say how many tasks they need."""
+    got = QUERIES["join_null_safe"](spark, sides(spark, tmp_path, 2000, 300, 4))
+    parts = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(parts) == 4 * 500 * 75
+    assert len(parts) == 8 and max(parts) < sum(parts) / 3
+
+
 def test_equal_rows_of_a_table_get_different_salts(spark, tmp_path):
     """By their place in the file, where the frame still shows it; the join gives the same pairs."""
     equal = spark.range(400).select(F.lit(None).cast("string").alias("k"), F.lit(1).alias("x"))
