@@ -1,5 +1,6 @@
 import re
 import statistics
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -153,6 +154,28 @@ def test_pairs_of_few_keys_are_dealt_to_all_tasks(spark, tmp_path):
     assert len(parts) == 8 and max(parts) < sum(parts) / 3
 
 
+def written(spark, monkeypatch, name, folder):
+    """(rows, bytes) of a query's result as files, and those of its join without blocks."""
+    def size(to):
+        QUERIES[name](spark, folder).write.parquet(to)
+        return spark.read.parquet(to).count(), sum(p.stat().st_size for p in Path(to).glob("*.parquet"))
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # both sides shuffle, as large ones do
+    try:
+        blocks, join = size(f"{folder}/blocks"), joins.inner_join
+        monkeypatch.setattr(joins, "inner_join", lambda *a, block=0, parts=1, **k: join(*a, **k))
+        return blocks, size(f"{folder}/plain")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pairs_of_few_keys_take_little_disk(spark, tmp_path, monkeypatch):
+    folder = sides(spark, tmp_path, 320, 20_000, 1)
+    (n, blocks), (m, plain) = written(spark, monkeypatch, "join_nulls_apart", folder)
+    assert n == m == 320 * 20_000
+    assert blocks < plain / 3
+
+
 def test_equal_rows_of_a_table_get_different_salts(spark, tmp_path):
     """By their place in the file, where the frame still shows it; the join gives the same pairs."""
     equal = spark.range(400).select(F.lit(None).cast("string").alias("k"), F.lit(1).alias("x"))
