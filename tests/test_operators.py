@@ -176,6 +176,18 @@ def test_pairs_of_few_keys_take_little_disk(spark, tmp_path, monkeypatch):
     assert blocks < plain / 3
 
 
+def test_marts_pairs_take_little_disk(spark, tmp_path, monkeypatch):
+    """One nation and day, with 100 orders and 20,000 shipments."""
+    day, folder = F.expr("timestamp_ntz'1997-03-01'"), sides(spark, tmp_path, 50, 20_000, 1)
+    spark.range(100).select(F.col("id").alias("o_orderkey"), (F.col("id") % 50).alias("o_custkey"),
+                            day.alias("o_orderdate")).coalesce(1).write.parquet(f"{folder}/orders.parquet")
+    spark.range(20_000).select((F.col("id") * 7 % 20_011).alias("l_partkey"), F.col("id").alias("l_suppkey"),
+                              day.alias("l_shipdate")).coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    (n, blocks), (m, plain) = written(spark, monkeypatch, "mart_two_key", folder)
+    assert n == m == 100 * 20_000
+    assert blocks < plain / 3
+
+
 def test_equal_rows_of_a_table_get_different_salts(spark, tmp_path):
     """By their place in the file, where the frame still shows it; the join gives the same pairs."""
     equal = spark.range(400).select(F.lit(None).cast("string").alias("k"), F.lit(1).alias("x"))
